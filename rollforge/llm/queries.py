@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import license_scan, poisson_mix, url_cascade
+from . import license_scan, poisson_mix, quality_ftrl, secret_scan, token_attribution, url_cascade
 from .common import UPPER, table
 
 
+def op1_token_attribution(spark, sf_dir):
+    return token_attribution.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op3_poisson_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return poisson_mix.mix(docs, alpha=0.5, seed=17)
@@ -29,6 +33,15 @@ FROM e
 """
 
 
+def op7_secret_scan(spark, sf_dir):
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op8_quality_ftrl(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality_ftrl.score(docs, quality_ftrl.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_url_cascade(spark, sf_dir):
     """The list of blocked keys stands for one that would be given: every key whose MD5 begins with 0."""
     return url_cascade.judge(table(spark, sf_dir, "pages"), lambda key: F.md5(key).startswith("0"))
@@ -86,7 +99,10 @@ FROM q
 
 
 QUERIES = {
+    "op1_token_attribution": op1_token_attribution,
     "op3_poisson_mix": op3_poisson_mix,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_quality_ftrl": op8_quality_ftrl,
     "op9_url_cascade": op9_url_cascade,
     "op10_license_scan": op10_license_scan,
 }
