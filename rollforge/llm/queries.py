@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import license_scan, poisson_mix, quality_ftrl, secret_scan, token_attribution, url_cascade
+from . import license_scan, order_minhash, poisson_mix, quality_ftrl, secret_scan, token_attribution, url_cascade
 from .common import UPPER, table
 
 
@@ -12,6 +12,10 @@ def op1_token_attribution(spark, sf_dir):
     return token_attribution.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op2_order_minhash(spark, sf_dir):
+    return order_minhash.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
 def op3_poisson_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return poisson_mix.mix(docs, alpha=0.5, seed=17)
@@ -100,6 +104,7 @@ FROM q
 
 QUERIES = {
     "op1_token_attribution": op1_token_attribution,
+    "op2_order_minhash": op2_order_minhash,
     "op3_poisson_mix": op3_poisson_mix,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_ftrl": op8_quality_ftrl,
