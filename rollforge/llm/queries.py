@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import lattice_sampling, license_scan, near_dedup, order_minhash, poisson_mix, quality_ftrl, secret_scan, token_attribution, url_cascade
+from . import lattice_sampling, license_scan, near_dedup, order_minhash, poisson_mix, prefix_forest, quality_ftrl, secret_scan, token_attribution, url_cascade
 from .common import UPPER, table
 
 
@@ -41,6 +41,10 @@ def op4_lattice_sampling(spark, sf_dir):
     return lattice_sampling.sample(table(spark, sf_dir, "documents"), k=2, seed=11)
 
 
+def op5_prefix_forest(spark, sf_dir):
+    return prefix_forest.search(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
 def op6_near_dedup(spark, sf_dir):
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -115,6 +119,7 @@ QUERIES = {
     "op2_order_minhash": op2_order_minhash,
     "op3_poisson_mix": op3_poisson_mix,
     "op4_lattice_sampling": op4_lattice_sampling,
+    "op5_prefix_forest": op5_prefix_forest,
     "op6_near_dedup": op6_near_dedup,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality_ftrl": op8_quality_ftrl,
