@@ -36,7 +36,7 @@ PLACEHOLDER = re.compile(r"(?i)\A(?:x+|\*+|\.+|none|null|true|false|test|example
 MIN_SCORE, MIN_CHARS = 0.55, 6
 
 _PAIR = re.compile(
-    r"""(?P<q>["'`]?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,127})(?P=q)[ \t]*(?P<op>:=|=>|=(?!=)|:(?!//|:))[ \t]*(?P<value>(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|[^\s"'`,;#+(){}\[\]]+|\$\{[A-Za-z_]\w*\})(?:[ \t]*\+[ \t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z_$][\w.${}]*))*)"""
+    r"""(?P<q>["'`]?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,127})(?P=q)[ \t]*(?P<op>:=|=>|=(?!=)|:(?!//|:))[ \t]*(?P<value>(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|\$\{[A-Za-z_]\w*\}|[^\s"'`,;#+(){}\[\]]+)(?:[ \t]*\+[ \t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z_$][\w.${}]*))*)"""
 )
 _PART = re.compile(r'''"(?P<d>(?:[^"\\\n]|\\.)*)"|'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>[^`\n]*)`|\$\{(?P<r>[A-Za-z_]\w*)\}|(?P<w>[^\s"'`+]+)''')
 _NAME = re.compile(r"\A\$?([A-Za-z_][A-Za-z0-9_.]*)\Z")
