@@ -77,7 +77,7 @@ def mix(docs: DataFrame, *, weights: dict[str, float] | None = None, alpha: floa
         rows = rows.join(F.broadcast(rates), "__rf_source")
     else:
         salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
-        dealt = rates.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint").alias("__rf_salt"))
+        dealt = rates.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("__rf_salt"))
         rows = rows.withColumn("__rf_salt", salt).join(dealt, ["__rf_source", "__rf_salt"])
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     rows = rows.withColumn("n_copies", copies_of(key, F.col("__rf_cdf"), F.col("__rf_parts"), seed).cast("int")).where("n_copies > 0")
