@@ -135,6 +135,7 @@ class Lattices:
         self.other: dict[str, int] = {}
         self.others: list[list[int]] = []
         self.kept = (0, 0)
+        self.fresh: list[str] = []  # words that this batch added
 
     def _room(self, nodes: int, arcs: int) -> None:
         if self.nodes + nodes > len(self.first):
@@ -155,13 +156,16 @@ class Lattices:
     def settle(self) -> None:
         """Forget what doesn't fit into KEEP_ARCS, after a batch."""
         if self.arcs <= KEEP_ARCS:
+            self.fresh = []
             return
         if not self.kept[0]:  # what the first batches brought stays, up to KEEP_ARCS
             nodes = int(np.searchsorted(self.first[: self.nodes], np.int32(KEEP_ARCS)))
             nodes = max((s for s in self.start.values() if s < nodes), default=0)
             self.kept = (nodes, int(self.first[nodes]))
         nodes, arcs = self.kept
-        self.start = {w: s for w, s in self.start.items() if s < nodes}
+        for w in [w for w in self.fresh if self.start[w] >= nodes]:
+            del self.start[w]
+        self.fresh = []
         self.nodes, self.arcs = nodes, arcs
         if len(self.cut) > 2 * KEEP_ARCS:
             n = KEEP_ARCS + (1 << 20)
@@ -181,6 +185,7 @@ class Lattices:
         """First nodes of words; unknown ones are added."""
         get = self.start
         new = [w for w in dict.fromkeys(words) if w not in get]
+        self.fresh += new
         short = [w for w in new if len(w) <= LONG]
         for i in range(0, len(short), 1024):
             self._add(short[i : i + 1024])
