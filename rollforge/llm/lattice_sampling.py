@@ -84,6 +84,7 @@ class Model:
         self.logp = np.full(n, float(logp.min()) - 1)
         self.logp[normal] = logp * flatten
         self.floor = float(self.logp.min())
+        self.weight = np.exp(self.logp)
         self.ids = {self.pieces[i]: i for i in normal}
         self.longest = min(32, max(map(len, self.ids)))
         # Hash table of the pieces: sorted hashes of lengths 1 to `longest`, and a small filter before it.
@@ -216,7 +217,7 @@ class Lattices:
             same = model.hashes[k] == h
             p, got = p[same], model.hash_ids[k[same]]
             piece[p, size - 1] = got
-            weight[p, size - 1] = np.exp(model.logp[got])
+            weight[p, size - 1] = model.weight[got]
         for p in np.flatnonzero(piece[:, 0] < 0):
             piece[p, 0] = self._fallback(text[p])
             weight[p, 0] = math.exp(model.floor)
@@ -230,15 +231,20 @@ class Lattices:
             p = order[bounds[d - 1] : bounds[d]]
             w = min(d, width)
             mass[slot[p]] = (weight[p, :w] * mass[slot[p][:, None] + steps[:w]]).sum(1)
-        share = weight * mass[slot[:, None] + steps]
-        share /= mass[slot][:, None]
-        there = weight > 0
-        cut = np.minimum((np.cumsum(share, 1) * _ONE).astype(np.int64), _ONE)
-        cut[np.arange(n), width - 1 - np.argmax(there[:, ::-1], 1)] = _ONE
-        rows, cols = np.nonzero(there)
+        rows, cols = np.nonzero(piece >= 0)
+        share = weight[rows, cols] * mass[slot[rows] + cols + 1] / mass[slot[rows]]
+        counts = np.bincount(rows, minlength=n)
+        ahead = np.cumsum(counts) - counts
+        rank = np.arange(len(rows)) - ahead[rows]
+        total = share.copy()
+        for r in range(1, int(rank.max()) + 1):  # sums within each node, the same in any batch
+            at = np.flatnonzero(rank == r)
+            total[at] += total[at - 1]
+        cut = np.minimum((total * _ONE).astype(np.int64), _ONE)
+        cut[ahead + counts - 1] = _ONE
         target = np.where(cols + 1 < left[rows], self.nodes + rows + cols + 1, -1)
         first = self.nodes
-        self._append(there.sum(1), cut[there], target, piece[there], np.log(share[there]))
+        self._append(counts, cut, target, piece[rows, cols], np.log(share))
         for w, s in zip(words, (ends - sizes + first).tolist(), strict=True):
             self.start[w] = s
 
