@@ -22,6 +22,7 @@ import hashlib
 import heapq
 import math
 import re
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -93,8 +94,11 @@ class Model:
         held.sort()
         self.hashes = np.array([h for h, _ in held], np.uint64)
         self.hash_ids = np.array([i for _, i in held], np.int32)
-        self.filter = np.zeros(1 << 20, bool)
-        self.filter[self.hashes >> np.uint64(44)] = True
+        # What may begin a piece (1), or be one (2): most substrings are ruled out here.
+        self.filter = np.zeros(1 << 21, np.uint8)
+        begin = {p[:i] for p in self.ids if len(p) <= self.longest for i in range(1, len(p))}
+        self.filter[np.array([self.hash_of(p) for p in begin], np.uint64) >> np.uint64(43)] = 1
+        self.filter[self.hashes >> np.uint64(43)] |= 2
 
     def hash_of(self, piece: str) -> int:
         codes = _mix(np.frombuffer(piece.encode("utf-32-le"), np.uint32).astype(np.uint64))
@@ -183,9 +187,13 @@ class Lattices:
         return self.other[char]
 
     def starts(self, words: list[str]) -> np.ndarray:
-        """First nodes of words; unknown ones are added."""
+        """First nodes of the chunks U+2581 + word; unknown ones are added."""
         get = self.start
-        new = [w for w in dict.fromkeys(words) if w not in get]
+        out = np.fromiter(map(get.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(out < 0).tolist()
+        if not missing:
+            return out
+        new = list(dict.fromkeys(words[i] for i in missing))
         self.fresh += new
         short = [w for w in new if len(w) <= LONG]
         for i in range(0, len(short), 1024):
@@ -193,13 +201,14 @@ class Lattices:
         for w in new:
             if len(w) > LONG:
                 self._add_long(w)
-        return np.fromiter(map(get.__getitem__, words), np.int64, len(words))
+        out[missing] = [get[words[i]] for i in missing]
+        return out
 
     def _add(self, words: list[str]) -> None:
-        model, width = self.model, min(self.model.longest, max(map(len, words)))
-        text = "".join(words)
+        model, width = self.model, min(self.model.longest, max(map(len, words)) + 1)
+        text = SPACE + SPACE.join(words)
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        n, sizes = len(codes), np.fromiter(map(len, words), np.int64, len(words))
+        n, sizes = len(codes), np.fromiter(map(len, words), np.int64, len(words)) + 1
         ends = np.cumsum(sizes)
         left = np.repeat(ends, sizes) - np.arange(n)  # characters to the chunk's end
         powers = np.cumprod(np.full(n, model.base), dtype=np.uint64)
@@ -211,8 +220,10 @@ class Lattices:
         for size in range(1, width + 1):
             at = at[left[at] >= size]
             h = (sums[at + size] - sums[at]) * inverse[at]
-            near = model.filter[h >> np.uint64(44)]
+            seen = model.filter[h >> np.uint64(43)]
+            near = seen >= 2
             p, h = at[near], h[near]
+            at = at[(seen & 1).astype(bool)]
             k = np.minimum(np.searchsorted(model.hashes, h), len(model.hashes) - 1)
             same = model.hashes[k] == h
             p, got = p[same], model.hash_ids[k[same]]
@@ -248,7 +259,8 @@ class Lattices:
         for w, s in zip(words, (ends - sizes + first).tolist(), strict=True):
             self.start[w] = s
 
-    def _add_long(self, word: str) -> None:
+    def _add_long(self, key: str) -> None:
+        word = SPACE + key
         model, n = self.model, len(word)
         arcs: list[list[tuple[int, int, float]]] = []
         for i in range(n):
@@ -273,7 +285,7 @@ class Lattices:
                 logp.append(lp)
             cut[-1] = _ONE
             counts.append(len(own))
-        self.start[word] = self.nodes
+        self.start[key] = self.nodes
         self._append(np.array(counts), np.array(cut), np.array(target), np.array(piece), np.array(logp))
 
     def walk(self, at: np.ndarray, start: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -301,6 +313,14 @@ class Lattices:
         return out, counts
 
 
+def chunks(model: Model, text: str) -> list[str]:
+    """The text's chunks, each without the U+2581 that it begins with."""
+    words = text.split(" ") if text else []
+    if "" in words or SPACE in text:
+        words = [c[1:] for c in _CHUNK.findall(model.symbols(text))]
+    return words
+
+
 class _Search:
     """The state of one document's search."""
 
@@ -378,7 +398,7 @@ def sample_batch(lattices: Lattices, texts: list[str], keys: list[int], k: int)
     model = lattices.model
     words, bounds = [], [0]
     for t in texts:
-        words += _CHUNK.findall(model.symbols(t))
+        words += chunks(model, t)
         bounds.append(len(words))
     starts = lattices.starts(words)
     del words

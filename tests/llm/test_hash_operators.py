@@ -207,7 +207,7 @@ def test_samples_don_t_depend_on_the_batch(lattices):
 
 
 def test_long_chunks_have_the_same_lattice(lattices):
-    word = lattice_sampling.SPACE + "internationalization" * 2
+    word = "internationalization" * 2
     a, b = lattice_sampling.Lattices(lattices.model), lattice_sampling.Lattices(lattices.model)
     a._add([word])
     b._add_long(word)
@@ -216,6 +216,11 @@ def test_long_chunks_have_the_same_lattice(lattices):
     assert np.array_equal(a.target[: a.arcs], b.target[: b.arcs])
 
 
+def test_chunks_make_up_the_text(lattices):
+    for t in ["", "a b", " a", "a  b ", "  ", "x\u2581y z", "\n \n", prose(2, 30)]:
+        assert "".join(lattice_sampling.SPACE + c for c in lattice_sampling.chunks(lattices.model, t)) == lattices.model.symbols(t)
+
+
 def test_decode_is_the_models(lattices):
     model = lattices.model
     for t in ["", "a", " a  b ", "é\n漢\U0001f600\tx", prose(9, 50)]:
