@@ -405,20 +405,30 @@ def mismatch_histogram(spark, sf_dir):
 # --- providers ---
 
 
-def ocr_fake_pipeline(spark, sf_dir):
-    """Documents made of the nations' customers go through the fake rasteriser and OCR, then the text path."""
+def made_pdfs(spark, sf_dir) -> DataFrame:
+    """name, content of a fake document for each nation, with two pages of front matter and a last page."""
     rows = people_rows(spark, sf_dir).withColumn("block", block_text())
     page = F.concat(F.lit("No and Name : 7-Place Part No. : "), F.first(F.col("c_nationkey").cast("string")), F.lit("\nSection No and Name 1-Street\n---\n"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_pos", "block"))), lambda x: x["block"]), "\n---\n"))
     pages = rows.groupBy("nn", "page_no").agg(page.alias("page"))
     pdfs = pages.groupBy("nn").agg(F.sort_array(F.collect_list(F.struct("page_no", "page"))).alias("p"))
     body = F.concat(F.lit("front\fmatter\f"), F.array_join(F.transform("p", lambda x: x["page"]), "\f"), F.lit("\flast")).cast("binary")
-    pdfs = pdfs.select(F.concat(F.lit("doc-"), "nn", F.lit("-ENG-1-WI.PDF")).alias("name"), body.alias("content"))
+    return pdfs.select(F.concat(F.lit("doc-"), "nn", F.lit("-ENG-1-WI.PDF")).alias("name"), body.alias("content"))
+
+
+def ocr_fake_pipeline(spark, sf_dir):
+    """Documents go through the fake rasteriser and OCR, then the text path."""
     from .sources.readers import page_text
 
-    good, _ = ocr.page_rows(ocr.read_pages(ocr.rasterize(pdfs, ocr.FakeRasterizer()), ocr.FakeOcr()))
+    good, _ = ocr.page_rows(ocr.read_pages(ocr.rasterize(made_pdfs(spark, sf_dir), ocr.FakeRasterizer()), ocr.FakeOcr()))
     return records.parse_and_number(page_text(good))
 
 
+def ocr_fake_boxes(spark, sf_dir):
+    """Box by box, each parsed by itself."""
+    boxes = ocr.read_boxes(ocr.rasterize(made_pdfs(spark, sf_dir), ocr.FakeRasterizer()), ocr.FakeOcr())
+    return people.parse_blocks(boxes.select("doc_id", "page_no", "box_no", "ocr_text"), text="ocr_text")
+
+
 _OCR_SQL = f"WITH {_sql_rows('ENG')} SELECT {_sql_person()}, doc_id || '_page_' || lpad(CAST(page_no AS VARCHAR), 2, '0') || '_stacked_ocr.txt' AS source_image, doc_id, '7-Place' AS assembly, CAST(c_nationkey AS BIGINT) AS part_no, '1-Street' AS street, page_no, block_pos, rn AS serial_no FROM r"
 
 _W = f"WITH {_sql_rows('ENG')} "
@@ -462,6 +472,7 @@ ALL = {
     "record_diff": (record_diff, _DIFF_SQL),
     "mismatch_histogram": (mismatch_histogram, f"SELECT field, count(*) AS n FROM ({_DIFF_SQL}) GROUP BY field"),
     "ocr_fake_pipeline": (ocr_fake_pipeline, _OCR_SQL),
+    "ocr_fake_boxes": (ocr_fake_boxes, _W + f"SELECT doc_id, page_no, block_pos + 1 AS box_no, {_sql_person()} FROM r"),
 }
 QUERIES = {name: query for name, (query, _) in ALL.items()}
 ORACLES = {name: sql for name, (_, sql) in ALL.items()}

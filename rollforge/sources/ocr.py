@@ -91,6 +91,25 @@ def read_pages(images: DataFrame, provider: OcrProvider) -> DataFrame:
     return read.withColumns({"header_text": strip(F.col("header_text")), "ocr_text": F.array_join(clean_lines(split_lines(F.col("ocr_text"))), "\n")})
 
 
+def read_boxes(images: DataFrame, provider: OcrProvider) -> DataFrame:
+    """doc_id, page_no, box_no (from 1), lang, ocr_text, error of each box of page images; boxes without text are left out, failed ones stay with their error."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc_id, page_no, lang, image in batch[["doc_id", "page_no", "lang", "image"]].itertuples(index=False):
+                for no, box in enumerate(provider.boxes(image), 1):
+                    try:
+                        rows.append((doc_id, page_no, no, lang, provider.ocr(box, lang), None))
+                    except Exception as e:  # a box that fails is reported, and the others go on
+                        rows.append((doc_id, page_no, no, lang, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(rows, columns=["doc_id", "page_no", "box_no", "lang", "ocr_text", "error"])
+
+    read = images.mapInPandas(run, "doc_id string, page_no bigint, box_no bigint, lang string, ocr_text string, error string")
+    read = read.withColumn("ocr_text", F.array_join(clean_lines(split_lines(F.col("ocr_text"))), "\n"))
+    return read.where("error is not null or ocr_text <> ''")
+
+
 def page_rows(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(texts with the names that the text scan gives, failed pages)."""
     name = F.concat("doc_id", F.lit("_page_"), F.lpad(F.col("page_no").cast("string"), 2, "0"), F.lit("_stacked_ocr.txt"))

@@ -1,5 +1,6 @@
 """Numbering, sources, sinks, viewer, comparison, geometry, providers and the command line."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +8,7 @@ from rollforge import cli
 from rollforge.functions import geometry
 from rollforge.operators import diff, records, viewer
 from rollforge.plans.roll import Config, records_of_pdfs
-from rollforge.sources import ocr, readers, sinks
+from rollforge.sources import ocr, raster, readers, sinks
 from rollforge.streaming import landing
 
 PAGES = "source_image string, ocr_text string, doc_id string, assembly string, part_no bigint, street string, page_no bigint"
@@ -138,3 +139,28 @@ def test_stream(spark, tmp_path):
 
 def test_paths():
     assert readers.paths_of(" s3a://a/b.pdf, c ,") == ["s3a://a/b.pdf", "c"]
+
+
+def test_raster():
+    page = np.random.RandomState(1).randint(0, 255, (4000, 3000), np.uint8)
+    edges = raster.box_edges(3000, 4000)
+    assert (edges[0], edges[-1]) == ((72, 128, 1024, 502), (1976, 3497, 2928, 3871))
+    crop = page[128:502, 72:1024]
+    masked = raster.mask_photo(crop)
+    assert (masked[77:, 700:] == 255).all()
+    assert np.array_equal(masked[:77], crop[:77])
+    moved = raster.relocate_id(masked)
+    assert np.array_equal(moved[267:350, 6:387], masked[10:93, 571:952])
+    assert (moved[:94, 571:] == 255).all()
+    marker = np.zeros((30, 100), np.uint8)
+    boxes = raster.crops(page, marker)
+    assert len(boxes) == 30
+    assert (boxes[0][374 - 60 - 8 : 374 - 8, 500:700] == 0).all()
+    with pytest.raises(ValueError, match="fit"):
+        raster.stamp_marker(crop[:50], marker)
+    tall = raster.stack([np.zeros((5, 3), np.uint8), np.zeros((4, 7), np.uint8)])
+    assert tall.shape == (19, 7)
+    assert (tall[:5, 3:] == 255).all()
+    assert (tall[5:15] == 255).all()
+    assert raster.enlarge(np.full((4, 4, 3), 9, np.uint8), 2.0).shape == (8, 8, 3)
+    assert raster.header_area(page).shape == (200, 3000)
