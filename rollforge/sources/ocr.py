@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_lines, detect_language, split_lines, strip
 from ..operators.blocks import MARKER
+from ..shipping import ship
 
 DPI = 450
 #: Front matter to skip, by language; the last page is dropped too.
@@ -70,6 +71,7 @@ def rasterize(pdfs: DataFrame, rasterizer: PageRasterizer, *, dpi: int = DPI) ->
                 for no, page in enumerate(range(FIRST_PAGE[lang], rasterizer.page_count(content)), 1):
                     yield pd.DataFrame({"doc_id": [doc_id], "page_no": [no], "lang": [lang], "image": [rasterizer.page(content, page, dpi)]})
 
+    ship(pdfs.sparkSession)
     return held.mapInPandas(run, "doc_id string, page_no bigint, lang string, image binary")
 
 
@@ -87,6 +89,7 @@ def read_pages(images: DataFrame, provider: OcrProvider) -> DataFrame:
                     rows.append((doc_id, page_no, lang, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["doc_id", "page_no", "lang", "header_text", "ocr_text", "error"])
 
+    ship(images.sparkSession)
     read = images.mapInPandas(run, "doc_id string, page_no bigint, lang string, header_text string, ocr_text string, error string")
     return read.withColumns({"header_text": strip(F.col("header_text")), "ocr_text": F.array_join(clean_lines(split_lines(F.col("ocr_text"))), "\n")})
 
@@ -105,6 +108,7 @@ def read_boxes(images: DataFrame, provider: OcrProvider) -> DataFrame:
                         rows.append((doc_id, page_no, no, lang, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(rows, columns=["doc_id", "page_no", "box_no", "lang", "ocr_text", "error"])
 
+    ship(images.sparkSession)
     read = images.mapInPandas(run, "doc_id string, page_no bigint, box_no bigint, lang string, ocr_text string, error string")
     read = read.withColumn("ocr_text", F.array_join(clean_lines(split_lines(F.col("ocr_text"))), "\n"))
     return read.where("error is not null or ocr_text <> ''")
