@@ -28,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..shipping import ship
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -503,6 +505,7 @@ def sample(docs: DataFrame, *, k: int = 2, seed: int = 11, model: str = MODEL) -
     inclusion is the probability that the sample would hold the segmentation, given the threshold. round_trip: whether ids
     decode to the text (texts that hold U+2581 don't). A text with fewer than k segmentations gives them all; null and
     empty texts have one, without pieces; repeated rows give repeated results. model: a file that the driver reads."""
+    ship(docs.sparkSession)
     with open(model, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
 

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from .alignment import edit_similarity
 from .common import materialize
 
@@ -133,6 +134,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             columns = [batch.column("doc_id"), batch.column("node"), pa.array(n, pa.int32()), *(pa.array(np.ascontiguousarray(s[:, i])) for i in range(4)), lists]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "s0", "s1", "s2", "s3", "keys"])
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, SKETCHED)
 
 
@@ -154,6 +156,7 @@ def verify(pairs: DataFrame, threshold: float) -> DataFrame:
             good = [similar(x, y, threshold) for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
+    ship(pairs.sparkSession)
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..shipping import ship
 from .common import materialize
 
 TREES, BITS, CERTAINTY = 48, 24, 0.95
@@ -164,6 +165,7 @@ def search(table: DataFrame, *, k: int = 10, every: int = 100, certainty: float
         sizes = [len(ids) for ids, _ in near]
         return pd.DataFrame({"asked": np.repeat(asks, sizes), "entry": names[np.concatenate([ids for ids, _ in near])], "score": np.concatenate([far for _, far in near])})
 
+    ship(table.sparkSession)
     found = held.groupBy("shard", "block").cogroup(given.groupBy("shard", "block")).applyInPandas(visit, "asked bigint, entry bigint, score double")
     # The query's own entry: copies of the query at distance 0.
     found = materialize(found.unionByName(asked.select(F.col("entry").alias("asked"), "entry", F.lit(0.0).alias("score"))), "found")

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 BITS = 18
 #: A classifier is fitted on at most so many labelled documents: those with the smallest hashes of their ids.
 MAX_TRAIN = 12_000
@@ -119,6 +121,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, **s
         weights = fit([(r[2], r[3]) for r in rows[:max_train]], **settings)
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], names=["weights"])
 
+    ship(docs.sparkSession)
     got = sample.select("at", "doc_id", "text", "quality").repartition(1).mapInArrow(run, "weights binary").collect()
     return np.frombuffer(bytes(got[0].weights), np.float32) if got else np.zeros((1 << BITS) + 1, np.float32)
 
@@ -128,6 +131,7 @@ SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
 
 def score(docs: DataFrame, weights: np.ndarray, *, cut: float = CUT) -> DataFrame:
     """doc_id, held_out, score (that label 1 fits), predicted for each row of docs (doc_id, text). Null and empty texts get the bias's score."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(weights)  # 1 MB
 
     def run(batches):
@@ -141,6 +145,7 @@ def score(docs: DataFrame, weights: np.ndarray, *, cut: float = CUT) -> DataFram
 
 def keep(docs: DataFrame, weights: np.ndarray, *, cut: float = CUT) -> DataFrame:
     """The rows of docs whose score is at least cut, with their columns as they are."""
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):

@@ -17,6 +17,8 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..shipping import ship
+
 #: The base patterns, with the length that keeps a match. Kinds are listed in this order.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -150,6 +152,7 @@ def scan(docs: DataFrame) -> DataFrame:
             columns = [pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *columns], names=[f.split()[0] for f in SCHEMA.split(", ")])
 
+    ship(docs.sparkSession)
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, SCHEMA)
 
 
@@ -186,4 +189,5 @@ def redact(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
+    ship(docs.sparkSession)
     return docs.mapInArrow(run, schema)

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..shipping import ship
+
 RULES = ("majority", "first", "proportional")
 #: Fixed value: how the byte-level vocabulary cuts text before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -97,6 +99,7 @@ def count_tokens(docs: DataFrame, *, vocabulary: str = VOCABULARY, rule: str = "
     a document whose sections are null or empty gives no row; repeated rows stay; other columns are ignored."""
     if rule not in RULES:
         raise ValueError(f"rule: one of {RULES}")
+    ship(docs.sparkSession)
     with open(vocabulary, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
     names = [f.split()[0] for f in SCHEMA.split(", ")]
