@@ -8,7 +8,8 @@ found by alignment inside a band.
 
 Exact copies are joined first, so only different texts meet. Inside a bucket of up to SMALL texts all pairs are
 candidates. A larger bucket names a hub (the text that shares keys with the most others; so the centre of a group of
-near copies) and its first member, and its members are compared with both; members that end up outside the hub's class get a new hub among themselves,
+near copies) and its first member, and its members are compared with both; members that end up outside the hub's class are compared with
+the bucket's LEADERS, the texts that share keys with the most others, and get a new hub among themselves,
 round after round, until a round finds no link. So candidates grow with the number of members, never with its square, and no member
 is left out. Classes are the links' connected components.
 """
@@ -20,6 +21,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..shipping import ship
@@ -27,7 +29,7 @@ from .alignment import edit_similarity
 from .common import materialize
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, L, SHORT, SMALL = 24, 4, 12, 8
+BANDS, L, SHORT, SMALL, LEADERS = 24, 4, 12, 8, 16
 #: Of 64 minimum hashes, 4 bits each, so many must agree before texts are fetched: at a similarity of 0.8, 52 do on
 #: average, and fewer than 36 in about one pair in ten million.
 SKETCH_LEAST = 36
@@ -212,6 +214,13 @@ def _hubs(members: DataFrame) -> DataFrame:
     return got.select("key", (-F.col("top.minus")).alias("hub"), "low")
 
 
+def _leaders(members: DataFrame) -> DataFrame:
+    """For each key its LEADERS heaviest nodes."""
+    order = W.partitionBy("key").orderBy(F.desc("weight"), "node")
+    top = members.select("key", "node", "weight", F.row_number().over(order).alias("at")).where(F.col("at") <= LEADERS)
+    return top.groupBy("key").agg(F.collect_list("node").alias("leaders"))
+
+
 def classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of its class), class_size for each row of docs (doc_id, text).
 
@@ -249,15 +258,19 @@ def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     sides = nodes.select("node", "row", "n", "s0", "s1", "s2", "s3")
     links = _links(tested, sides, rows, threshold)
     labels = components(links)
-    rest = large.select("key", "node", "weight")
+    rest, leaders = large.select("key", "node", "weight"), None
     while True:
-        # Members outside the class of their bucket's hub meet under a new hub.
+        # Members outside the class of their bucket's hub meet under a new hub, and first of all its other leaders.
         named = hubs.select("key", "hub").join(labels.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hub", "left")
         named = named.select("key", F.coalesce("hub_comp", "hub").alias("hub_comp"))
         mine = rest.join(labels, "node", "left").select("key", "node", "weight", F.coalesce("comp", "node").alias("comp"))
         rest = materialize(mine.join(materialize(named, "named"), "key").where("comp <> hub_comp").select("key", "node", "weight"), "rest")
         hubs = materialize(_hubs(rest), "hubs")
-        new = materialize(ordered(rest.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b"))).join(tested, ["a", "b"], "left_anti"), "pairs")
+        new = rest.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+        if leaders is None:
+            leaders = materialize(_leaders(large), "leaders")
+            new = new.union(rest.join(leaders, "key").select(F.col("node").alias("a"), F.explode("leaders").alias("b")))
+        new = materialize(ordered(new).join(tested, ["a", "b"], "left_anti"), "pairs")
         more = _links(new, sides, rows, threshold)
         if not more.limit(1).count():
             break
