@@ -43,6 +43,23 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+_HELD: dict[str, object] = {}
+
+
+def hold(name: str, clear) -> None:
+    """In a Python worker: the tables that operator `name` keeps from batch to batch may stay, those of operators that ran before in the worker go."""
+    for other in [n for n in _HELD if n != name]:
+        _HELD.pop(other)()
+    _HELD[name] = clear
+
+
+def slices(batches, rows: int = 512):
+    """Arrow batches cut small, so that few rows at a time become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 

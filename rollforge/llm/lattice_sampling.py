@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..shipping import ship
+from .common import hold, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -39,7 +40,7 @@ _ONE = (1 << 31) - 1
 #: Chunks of more characters get their lattice one by one.
 LONG = 48
 #: Arcs that are kept from batch to batch (20 bytes each), and characters in a batch.
-KEEP_ARCS, BATCH_CHARS = 5_000_000, 1_500_000
+KEEP_ARCS, BATCH_CHARS = 3_500_000, 1_000_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -510,16 +511,18 @@ def sample(docs: DataFrame, *, k: int = 2, seed: int = 11, model: str = MODEL) -
         held = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches):
+        hold("lattices", _LOADED.clear)
         lattices = load(held.value)
         for batch in batches:
             ids, texts, chars = [], [], 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids.append(doc_id)
-                texts.append(text or "")
-                chars += len(texts[-1])
-                if chars >= BATCH_CHARS or len(texts) >= 2000:
-                    yield _batch(lattices, ids, texts, k, seed)
-                    ids, texts, chars = [], [], 0
+            for part in slices([batch], 64):
+                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    ids.append(doc_id)
+                    texts.append(text or "")
+                    chars += len(texts[-1])
+                    if chars >= BATCH_CHARS or len(texts) >= 2000:
+                        yield _batch(lattices, ids, texts, k, seed)
+                        ids, texts, chars = [], [], 0
             if ids:
                 yield _batch(lattices, ids, texts, k, seed)
 

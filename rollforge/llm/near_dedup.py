@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from .alignment import edit_similarity
-from .common import materialize
+from .common import hold, materialize, slices
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, L, SHORT, SMALL, LEADERS = 24, 4, 12, 8, 16
@@ -52,7 +52,7 @@ class _Words(dict):
     """Hashes of words; cleared when it has grown."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         raw = word.encode("utf-8", "surrogatepass")
         out = self[word] = zlib.crc32(raw) << 32 | zlib.adler32(raw[::-1], len(raw))
@@ -122,7 +122,8 @@ def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, node (hash of the text), number of items, sketch and keys for each row of docs (doc_id, node, text)."""
 
     def run(batches):
-        for batch in batches:
+        hold("words", _WORDS.clear)
+        for batch in slices(batches):
             n, sketches, keys, sizes = [], [], [], [0]
             for text in batch.column("text").to_pylist():
                 items = items_of((text or "").split())
@@ -154,7 +155,8 @@ def verify(pairs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b, text_a, text_b) that are links."""
 
     def run(batches):
-        for batch in batches:
+        hold("words", _WORDS.clear)
+        for batch in slices(batches):
             good = [similar(x, y, threshold) for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 

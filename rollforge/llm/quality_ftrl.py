@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from .common import hold, slices
 
 BITS = 18
 #: A classifier is fitted on at most so many labelled documents: those with the smallest hashes of their ids.
@@ -24,7 +25,6 @@ MAX_TRAIN = 12_000
 SCALE = 8.0  # a vector's entries sum to this for each kind of feature
 CUT = 0.3  # of the score; at or above it a document is kept
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-_CACHE: dict[str, int] = {}
 
 
 def _shape(token: str) -> str:
@@ -38,7 +38,7 @@ class _Hashes(dict):
     """Token -> its hash (high 32 bits) and its shape's (low 32 bits); cleared when it has grown."""
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         out = self[token] = (zlib.crc32(token.lower().encode("utf-8", "surrogatepass")) << 32) | zlib.crc32(b"\x00" + _shape(token).encode("utf-8", "surrogatepass"))
         return out
@@ -116,6 +116,7 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, **s
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # known: max_train rows at most
 
     def run(batches):
+        hold("features", _HASHES.clear)
         rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("at", "doc_id", "text", "quality")), strict=True)]
         rows.sort(key=lambda r: (r[0], r[1], r[2] or ""))
         weights = fit([(r[2], r[3]) for r in rows[:max_train]], **settings)
@@ -135,8 +136,9 @@ def score(docs: DataFrame, weights: np.ndarray, *, cut: float = CUT) -> DataFram
     held = docs.sparkSession.sparkContext.broadcast(weights)  # 1 MB
 
     def run(batches):
+        hold("features", _HASHES.clear)
         w = held.value
-        for batch in batches:
+        for batch in slices(batches):
             got = np.array([logistic(raw_score(features(t), w)) for t in batch.column("text").to_pylist()], np.float64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(got), pa.array((got >= cut).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -149,8 +151,9 @@ def keep(docs: DataFrame, weights: np.ndarray, *, cut: float = CUT) -> DataFrame
     held = docs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches):
+        hold("features", _HASHES.clear)
         w = held.value
-        for batch in batches:
+        for batch in slices(batches):
             good = [logistic(raw_score(features(t), w)) >= cut for t in batch.column("text").to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
 

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..shipping import ship
+from .common import slices
 
 #: The base patterns, with the length that keeps a match. Kinds are listed in this order.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -141,7 +142,7 @@ def scan(docs: DataFrame) -> DataFrame:
     Null and empty texts have no spans (the digest of the empty string); repeated rows stay; other columns are ignored."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for text in batch.column("text").to_pylist():
                 base, lexed = find(text)
@@ -181,7 +182,7 @@ def redact(docs: DataFrame) -> DataFrame:
     names, schema = docs.columns, docs.schema
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [redact_text(t) for t in batch.column("text").to_pylist()]
             columns = {n: batch.column(n) for n in names}
             columns["text"] = pa.array(texts, columns["text"].type)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ..shipping import ship
+from .common import hold, slices
 
 RULES = ("majority", "first", "proportional")
 #: Fixed value: how the byte-level vocabulary cuts text before merging.
@@ -105,8 +106,9 @@ def count_tokens(docs: DataFrame, *, vocabulary: str = VOCABULARY, rule: str = "
     names = [f.split()[0] for f in SCHEMA.split(", ")]
 
     def run(batches):
+        hold("tokens", _LOADED.clear)
         encoder, sizes = load(held.value)
-        for batch in batches:
+        for batch in slices(batches):
             ids, parts = [], []
             given = batch.column("sections") if sections else None
             for i, (doc_id, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)):
