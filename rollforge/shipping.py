@@ -9,10 +9,14 @@ import zipfile
 from pyspark.sql import SparkSession
 
 _MARK = "_rollforge_shipped"
+#: Rows of an Arrow batch at most. Whole documents are long: Spark's 10,000 rows would be tens of MB for each task, in the JVM and in Python.
+BATCH_ROWS, _ROWS = 1000, "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Make the package importable on executors, wherever the driver found it."""
+    """Make the package importable on executors, wherever the driver found it, and keep Arrow batches small."""
+    if not 0 < int(spark.conf.get(_ROWS)) <= BATCH_ROWS:
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
     context = spark.sparkContext
     if getattr(context, _MARK, False):
         return
