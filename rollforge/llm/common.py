@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,9 +52,15 @@ _HELD: dict[str, object] = {}
 
 def hold(name: str, clear) -> None:
     """In a Python worker: the tables that operator `name` keeps from batch to batch may stay, those of operators that ran before in the worker go."""
-    for other in [n for n in _HELD if n != name]:
+    others = [n for n in _HELD if n != name]
+    for other in others:
         _HELD.pop(other)()
     _HELD[name] = clear
+    if others:  # give the memory back, since the worker shares its executor's
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
 
 
 def slices(batches, rows: int = 512):

@@ -40,7 +40,7 @@ _ONE = (1 << 31) - 1
 #: Chunks of more characters get their lattice one by one.
 LONG = 48
 #: Arcs that are kept from batch to batch (20 bytes each), and characters in a batch.
-KEEP_ARCS, BATCH_CHARS = 3_500_000, 1_000_000
+KEEP_ARCS, BATCH_CHARS = 3_000_000, 800_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -138,7 +138,7 @@ class Lattices:
         self.start: dict[str, int] = {}
         self.nodes = self.arcs = 0
         self.first = np.empty(1 << 21, np.int32)
-        self.cut, self.target, self.piece = (np.empty(KEEP_ARCS + (1 << 20), np.int32) for _ in range(3))
+        self.cut, self.target, self.piece = (np.empty(KEEP_ARCS + (1 << 19), np.int32) for _ in range(3))
         self.logp = np.empty(len(self.cut))
         self.other: dict[str, int] = {}
         self.others: list[list[int]] = []
@@ -176,7 +176,7 @@ class Lattices:
         self.fresh = []
         self.nodes, self.arcs = nodes, arcs
         if len(self.cut) > 2 * KEEP_ARCS:
-            n = KEEP_ARCS + (1 << 20)
+            n = KEEP_ARCS + (1 << 19)
             self.cut, self.target, self.piece, self.logp = (x[:n].copy() for x in (self.cut, self.target, self.piece, self.logp))
 
     def _fallback(self, char: str) -> int:

@@ -52,7 +52,7 @@ class _Words(dict):
     """Hashes of words; cleared when it has grown."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         raw = word.encode("utf-8", "surrogatepass")
         out = self[word] = zlib.crc32(raw) << 32 | zlib.adler32(raw[::-1], len(raw))

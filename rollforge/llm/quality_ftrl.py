@@ -38,7 +38,7 @@ class _Hashes(dict):
     """Token -> its hash (high 32 bits) and its shape's (low 32 bits); cleared when it has grown."""
 
     def __missing__(self, token: str) -> int:
-        if len(self) > 200_000:
+        if len(self) > 100_000:
             self.clear()
         out = self[token] = (zlib.crc32(token.lower().encode("utf-8", "surrogatepass")) << 32) | zlib.crc32(b"\x00" + _shape(token).encode("utf-8", "surrogatepass"))
         return out
