@@ -87,7 +87,7 @@ def fit(rows: list[tuple[str | None, int]], *, epochs: int = 4, alpha: float = 0
     for text, label in rows:
         places, counts = np.unique(features(text), return_counts=True)
         total = max(1, counts.sum())
-        held.append((np.append(places, n - 1), np.append(counts * (4 * SCALE / total), 1.0), float(label)))
+        held.append((np.append(places, n - 1).astype(np.int32), np.append(counts * (4 * SCALE / total), 1.0).astype(np.float32), float(label)))
     for _ in range(epochs):
         for places, x, y in held:
             w = weights[places]
