@@ -164,24 +164,29 @@ def verify(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def _agree(p: str, q: str) -> Column:
-    """How many of the 64 4-bit hashes agree."""
+def _agree(p, q) -> Column:
+    """How many of the 64 4-bit hashes agree; p and q give a sketch's column by its name."""
     total = F.lit(0)
     for i in range(4):
-        x = F.col(f"{p}.s{i}").bitwiseXOR(F.col(f"{q}.s{i}"))
+        x = p(f"s{i}").bitwiseXOR(q(f"s{i}"))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x1111111111111111))
         total = total + (F.lit(16) - F.bit_count(x))
     return total
 
 
+def _may_link(p, q, threshold: float) -> Column:
+    """Whether sizes and sketches leave a pair possible."""
+    return (F.least(p("n"), q("n")) >= F.lit(threshold) * F.greatest(p("n"), q("n"))) & (_agree(p, q) >= SKETCH_LEAST)
+
+
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """Those of pairs (a, b) that verify. nodes: node, n, sketch and the row that holds the text."""
     a, b = nodes.alias("p"), nodes.alias("q")
     near = (
         pairs.join(a, F.col("a") == F.col("p.node"))
         .join(b, F.col("b") == F.col("q.node"))
-        .where((F.least("p.n", "q.n") >= F.lit(threshold) * F.greatest("p.n", "q.n")) & (_agree("p", "q") >= SKETCH_LEAST))
+        .where(_may_link(lambda c: F.col(f"p.{c}"), lambda c: F.col(f"q.{c}"), threshold))
         .select("a", "b")
     )
     near = materialize(near, "near")
@@ -216,11 +221,11 @@ def _hubs(members: DataFrame) -> DataFrame:
     return got.select("key", (-F.col("top.minus")).alias("hub"), "low")
 
 
-def _leaders(members: DataFrame) -> DataFrame:
-    """For each key its LEADERS heaviest nodes."""
+def _leaders(members: DataFrame, sides: DataFrame) -> DataFrame:
+    """For each key its LEADERS heaviest nodes, with their sizes and sketches."""
     order = W.partitionBy("key").orderBy(F.desc("weight"), "node")
     top = members.select("key", "node", "weight", F.row_number().over(order).alias("at")).where(F.col("at") <= LEADERS)
-    return top.groupBy("key").agg(F.collect_list("node").alias("leaders"))
+    return top.join(sides, "node").groupBy("key").agg(F.collect_list(F.struct("node", "n", "s0", "s1", "s2", "s3")).alias("leaders"))
 
 
 def classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
@@ -270,8 +275,10 @@ def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
         hubs = materialize(_hubs(rest), "hubs")
         new = rest.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b"))
         if leaders is None:
-            leaders = materialize(_leaders(large), "leaders")
-            new = new.union(rest.join(leaders, "key").select(F.col("node").alias("a"), F.explode("leaders").alias("b")))
+            leaders = materialize(_leaders(large, sides), "leaders")
+            met = rest.select("key", "node").join(sides.drop("row"), "node").join(leaders, "key")
+            near = F.filter("leaders", lambda x: (x["node"] != F.col("node")) & _may_link(F.col, lambda c: x[c], threshold))
+            new = new.union(met.select(F.col("node").alias("a"), F.explode(near).alias("x")).select("a", F.col("x.node").alias("b")))
         new = materialize(ordered(new).join(tested, ["a", "b"], "left_anti"), "pairs")
         more = _links(new, sides, rows, threshold)
         if not more.limit(1).count():
