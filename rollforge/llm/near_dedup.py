@@ -8,20 +8,20 @@ found by alignment inside a band.
 
 Exact copies are joined first, so only different texts meet. Inside a bucket of up to SMALL texts all pairs are
 candidates. A larger bucket names a hub (the text that shares keys with the most others; so the centre of a group of
-near copies) and its first member, and its members are compared with both; members that end up outside the hub's class are compared with
-the bucket's LEADERS, the texts that share keys with the most others, and get a new hub among themselves,
-round after round, until a round finds no link. So candidates grow with the number of members, never with its square, and no member
-is left out. Classes are the links' connected components.
+near copies) and its first member, and its members are compared with both. After that every two members of a larger bucket that are still in different
+classes, one of them outside the hub's, are a candidate pair if their sizes, sketches and parities leave a link possible: buckets are
+cut by size and dealt in blocks of BLOCK members, and a pair becomes a row only behind those tests. So no pair that shares a key is left out but those that
+links join already. Tests of sketches grow with a bucket's members times those outside its hub's class, fetched texts with the pairs that pass. Classes are the links' connected components.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..shipping import ship
@@ -29,7 +29,7 @@ from .alignment import edit_similarity
 from .common import hold, materialize, slices
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, L, SHORT, SMALL, LEADERS = 24, 4, 12, 8, 16
+BANDS, L, SHORT, SMALL, BLOCK = 24, 4, 12, 8, 2048
 #: Of 64 minimum hashes, 4 bits each, so many must agree before texts are fetched: at a similarity of 0.8, 52 do on
 #: average, and fewer than 36 in about one pair in ten million.
 SKETCH_LEAST = 36
@@ -115,27 +115,35 @@ def keys_and_sketch(items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key.astype(np.int64), words.astype(np.int64)
 
 
-SKETCHED = "doc_id bigint, node bigint, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint, keys array<bigint>"
+def parity(items: np.ndarray) -> np.ndarray:
+    """1024 bits in 16 words, each the parity of the items that it stands for: two texts' bits differ in at most as many places as items are in one of them only."""
+    odd = np.bincount((items & np.uint64(1023)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+SKETCHED = "doc_id bigint, node bigint, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint, bits array<bigint>, keys array<bigint>"
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, node (hash of the text), number of items, sketch and keys for each row of docs (doc_id, node, text)."""
+    """doc_id, node (hash of the text), number of items, sketch, parities and keys for each row of docs (doc_id, node, text)."""
 
     def run(batches):
         hold("words", _WORDS.clear)
         for batch in slices(batches):
-            n, sketches, keys, sizes = [], [], [], [0]
+            n, sketches, bits, keys, sizes = [], [], [], [], [0]
             for text in batch.column("text").to_pylist():
                 items = items_of((text or "").split())
                 key, s = keys_and_sketch(items)
                 n.append(len(items))
                 sketches.append(s)
+                bits.append(parity(items))
                 keys.append(key)
                 sizes.append(len(key))
             s = np.array(sketches).reshape(-1, 4)
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int64), *keys])))
-            columns = [batch.column("doc_id"), batch.column("node"), pa.array(n, pa.int32()), *(pa.array(np.ascontiguousarray(s[:, i])) for i in range(4)), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "s0", "s1", "s2", "s3", "keys"])
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * 16), pa.array(np.concatenate([np.empty(0, np.int64), *bits])))
+            columns = [batch.column("doc_id"), batch.column("node"), pa.array(n, pa.int32()), *(pa.array(np.ascontiguousarray(s[:, i])) for i in range(4)), bits, lists]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "s0", "s1", "s2", "s3", "bits", "keys"])
 
     ship(docs.sparkSession)
     return docs.mapInArrow(run, SKETCHED)
@@ -176,8 +184,10 @@ def _agree(p, q) -> Column:
 
 
 def _may_link(p, q, threshold: float) -> Column:
-    """Whether sizes and sketches leave a pair possible."""
-    return (F.least(p("n"), q("n")) >= F.lit(threshold) * F.greatest(p("n"), q("n"))) & (_agree(p, q) >= SKETCH_LEAST)
+    """Whether sizes, sketches and parities leave a pair possible; sizes and parities rule out no link."""
+    differ = sum((F.bit_count(F.get(p("bits"), F.lit(i)).bitwiseXOR(F.get(q("bits"), F.lit(i)))) for i in range(16)), F.lit(0))
+    most = (p("n") + q("n")) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6)
+    return (F.least(p("n"), q("n")) >= F.lit(threshold) * F.greatest(p("n"), q("n"))) & (_agree(p, q) >= SKETCH_LEAST) & (differ <= most)
 
 
 def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
@@ -221,11 +231,29 @@ def _hubs(members: DataFrame) -> DataFrame:
     return got.select("key", (-F.col("top.minus")).alias("hub"), "low")
 
 
-def _leaders(members: DataFrame, sides: DataFrame) -> DataFrame:
-    """For each key its LEADERS heaviest nodes, with their sizes and sketches."""
-    order = W.partitionBy("key").orderBy(F.desc("weight"), "node")
-    top = members.select("key", "node", "weight", F.row_number().over(order).alias("at")).where(F.col("at") <= LEADERS)
-    return top.join(sides, "node").groupBy("key").agg(F.collect_list(F.struct("node", "n", "s0", "s1", "s2", "s3")).alias("leaders"))
+def _unmet(large: DataFrame, hubs: DataFrame, labels: DataFrame, sides: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of members of a large bucket that are in different classes and may link, each at least once.
+
+    Two members in different classes aren't both in the hub's class, so those outside it (`out`) are met with all. Sizes of a link's
+    texts are in the same or in neighbouring classes of size; a class of more than BLOCK members is dealt to blocks."""
+    named = hubs.select("key", "hub").join(labels.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hub", "left")
+    named = named.select("key", F.coalesce("hub_comp", "hub").alias("hub_comp"))
+    width = math.log(1 / max(threshold, 1e-3)) + 1e-9
+    held = large.select("key", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(named, "key")
+    held = held.withColumn("out", F.col("comp") != F.col("hub_comp")).drop("hub_comp").join(sides.drop("row"), "node")
+    held = materialize(held.withColumn("range", F.floor(F.log("n") / width).cast("int")), "held")
+    # Buckets that are one class are done.
+    ranges = held.groupBy("key", "range").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    ranges = materialize(ranges.join(held.where("out").select("key").distinct(), "key"), "ranges")
+    met = held.join(ranges, ["key", "range"]).withColumn("block", F.expr("cast(pmod(node, blocks) as int)")).drop("blocks")
+    probes = held.where("out").drop("out").withColumn("range", F.explode(F.array(F.col("range") - 1, F.col("range"), F.col("range") + 1)))
+    probes = probes.join(ranges, ["key", "range"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    x, y = probes.alias("x"), met.alias("y")
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "range", "block")]
+    once = ~F.col("y.out") | (F.col("x.node") < F.col("y.node"))
+    may = _may_link(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), threshold)
+    found = x.join(y, same[0] & same[1] & same[2] & (F.col("x.comp") != F.col("y.comp")) & once & may)
+    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
@@ -245,7 +273,7 @@ def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node, class_id, class_size, first: the class's row that stays, first_node), and the rows with their keys."""
     rows = _rows(docs)
     held = materialize(sketch(rows.select("doc_id", "node", "text")), "sketch")
-    of_node = [F.first(c).alias(c) for c in ("n", "s0", "s1", "s2", "s3", "keys")]
+    of_node = [F.first(c).alias(c) for c in ("n", "s0", "s1", "s2", "s3", "bits", "keys")]
     nodes = held.groupBy("node").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"), *of_node)
     nodes = materialize(nodes.withColumn("row", F.coalesce("low", "node")), "nodes")
     keyed = nodes.select("node", F.explode("keys").alias("key"))
@@ -262,29 +290,13 @@ def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     led = large.join(hubs, "key")
     pairs = pairs.union(led.select(F.col("node").alias("a"), F.col("hub").alias("b"))).union(led.select(F.col("node").alias("a"), F.col("low").alias("b")))
     tested = materialize(ordered(pairs), "pairs")
-    sides = nodes.select("node", "row", "n", "s0", "s1", "s2", "s3")
+    sides = nodes.select("node", "row", "n", "s0", "s1", "s2", "s3", "bits")
     links = _links(tested, sides, rows, threshold)
     labels = components(links)
-    rest, leaders = large.select("key", "node", "weight"), None
-    while True:
-        # Members outside the class of their bucket's hub meet under a new hub, and first of all its other leaders.
-        named = hubs.select("key", "hub").join(labels.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hub", "left")
-        named = named.select("key", F.coalesce("hub_comp", "hub").alias("hub_comp"))
-        mine = rest.join(labels, "node", "left").select("key", "node", "weight", F.coalesce("comp", "node").alias("comp"))
-        rest = materialize(mine.join(materialize(named, "named"), "key").where("comp <> hub_comp").select("key", "node", "weight"), "rest")
-        hubs = materialize(_hubs(rest), "hubs")
-        new = rest.join(hubs, "key").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        if leaders is None:
-            leaders = materialize(_leaders(large, sides), "leaders")
-            met = rest.select("key", "node").join(sides.drop("row"), "node").join(leaders, "key")
-            near = F.filter("leaders", lambda x: (x["node"] != F.col("node")) & _may_link(F.col, lambda c: x[c], threshold))
-            new = new.union(met.select(F.col("node").alias("a"), F.explode(near).alias("x")).select("a", F.col("x.node").alias("b")))
-        new = materialize(ordered(new).join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = _links(new, sides, rows, threshold)
-        if not more.limit(1).count():
-            break
-        tested, links = materialize(tested.union(new), "pairs"), materialize(links.union(more), "links")
-        labels = components(links)
+    new = ordered(_unmet(large, hubs, labels, sides, threshold)).join(tested, ["a", "b"], "left_anti")
+    more = _links(materialize(new, "pairs"), sides, rows, threshold)
+    if more.limit(1).count():
+        labels = components(links.union(more))
 
     of_class = nodes.select("node", "low", "row", "copies").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     summed = of_class.groupBy("comp").agg(F.min("low").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct(F.col("low").isNull().alias("none"), "row", "node")).alias("first"))

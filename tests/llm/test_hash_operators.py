@@ -361,6 +361,36 @@ def test_classes_match_all_pairs(spark):
     assert sorted(r.doc_id for r in kept) == sorted({c for c, _ in got.values()})
 
 
+def vary(words, n, seed, same=True):
+    """words with n of them changed so that the band keys stay; with same=False then one more, so that some key doesn't."""
+    r, words = random.Random(seed), list(words)
+    keys = near_dedup.keys_and_sketch(near_dedup.items_of(words))[0]
+    done = 0
+    while done < n + (not same):
+        own = list(words)
+        own[r.randrange(len(own))] = f"v{r.randint(0, 10**9)}"
+        if np.array_equal(keys, near_dedup.keys_and_sketch(near_dedup.items_of(own))[0]) == (done < n):
+            words, done = own, done + 1
+    return words
+
+
+def assert_exact(spark, texts):
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = slow_classes([" ".join(t) for t in texts])
+    assert {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()} == want
+    return want
+
+
+def test_pairs_that_share_large_buckets_only(spark):
+    """Loners with the same keys, and among them pairs of near copies that are neither hub nor leader."""
+    base = prose(41, 400).split()
+    texts = [vary(base, 16, i) for i in range(60)]
+    pairs = [vary(base, 16, 100 + i) for i in range(6)]
+    want = assert_exact(spark, texts + pairs + [vary(t, 1, 200 + i) for i, t in enumerate(pairs)])
+    assert all(want[66 + i] == 60 + i for i in range(6))
+    assert len(set(want.values())) == 66
+
+
 def test_similarity_sees_order():
     base = prose(1, 200).split()
     assert near_dedup.similar(" ".join(base), " ".join(base[:150] + ["x"] + base[150:]))
