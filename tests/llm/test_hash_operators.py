@@ -391,6 +391,15 @@ def test_pairs_that_share_large_buckets_only(spark):
     assert len(set(want.values())) == 66
 
 
+def test_leftovers_meet_behind_a_loner(spark):
+    """A large group of near copies, and outside it a heavy loner and two near copies of each other."""
+    base = prose(42, 400).split()
+    parent = vary(base, 16, 1)
+    texts = [vary(base, 1, 10 + i) for i in range(25)] + [vary(base, 16, 2), vary(parent, 0, 3, same=False), vary(parent, 0, 4, same=False)]
+    want = assert_exact(spark, texts)
+    assert [want[i] for i in (24, 25, 26, 27)] == [0, 25, 26, 26]
+
+
 def test_similarity_sees_order():
     base = prose(1, 200).split()
     assert near_dedup.similar(" ".join(base), " ".join(base[:150] + ["x"] + base[150:]))
