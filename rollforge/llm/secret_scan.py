@@ -56,6 +56,15 @@ def base_spans(text: str, low: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+_GATE = tuple(sorted({s.replace("_", "") for s, _ in SENSITIVE}))
+
+
+def may_name(low: str) -> bool:
+    """Whether a lower-case text can hold a name with a score: name_score's words, without the signs that it sets between them."""
+    bare = low.replace("_", "").replace("-", "").replace(".", "")
+    return any(s in bare for s in _GATE)
+
+
 def name_score(name: str) -> float:
     low = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower().replace("-", "_").replace(".", "_")
     best = max((w for s, w in SENSITIVE if s in low), default=0.0)
@@ -125,7 +134,7 @@ def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     """Base spans and the lexer's, of a whole text; null counts as empty."""
     text = text or ""
     low = text.lower()
-    lexed = lexed_spans(text) if ("=" in text or ":" in text) and any(s in low or s.replace("_", "-") in low for s, _ in SENSITIVE) else []
+    lexed = lexed_spans(text) if ("=" in text or ":" in text) and may_name(low) else []
     return base_spans(text, low), lexed
 
 
