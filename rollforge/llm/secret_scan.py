@@ -3,7 +3,7 @@
 The lexer reads source and configuration syntax into (name, value) pairs: `name = value`, `name: value`, `name := value`,
 `name => value`, with names bare, dotted or quoted and values made of string literals, bare words and references
 (`other`, `$other`, `${other}`) joined by +. Constants are propagated: a literal also carries each name that it
-reaches through references, to a fixed point. It is scored by the most sensitive of its names, how much it looks like
+reaches through references, to a fixed point, and a part of a concatenation the score of the whole. It is scored by the most sensitive of its names, how much it looks like
 a placeholder, and its entropy; literals of MIN_SCORE or more become spans of kind `literal`.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 import pyarrow as pa
@@ -37,11 +38,17 @@ SENSITIVE = (
 HARMLESS = frozenset("count length len size max min limit type name path file url uri regex pattern policy hint label field id expiry expires ttl".split())
 PLACEHOLDER = re.compile(r"(?i)\A(?:x+|\*+|\.+|none|null|true|false|test|example|changeme|change_me|your.*|placeholder|todo|dummy|<.*>|redacted)\Z")
 MIN_SCORE, MIN_CHARS = 0.55, 6
+#: A scheme before a credential, and a value made of references only.
+_SCHEME = re.compile(r"(?i)\A(?:bearer|basic|digest|token)[ \t]+")
+_REFERENCE = r"(?>\$\{[^}]*\}|\$\([^)]*\)|\$(?:[A-Z_][A-Z0-9_]*|[A-Za-z_.]+)(?![A-Za-z0-9])|\{\{[^{}]*\}\}|\{[A-Za-z_][\w.]*\}|<[^>]*>|%\(\w+\)s|%[sd](?!\w)|%[^%\s]*%)"
+_REFERENCES = re.compile(rf"\A{_REFERENCE}(?:[\s:/@._-]*+{_REFERENCE})*+\Z")
+#: A folded value is followed so far.
+MAX_FOLDED = 4096
 
 _PAIR = re.compile(
-    r"""(?P<q>["'`]?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,127})(?P=q)[ \t]*(?P<op>:=|=>|=(?!=)|:(?!//|:))[ \t]*(?P<value>(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|\$\{[A-Za-z_]\w*\}|[^\s"'`,;#+(){}\[\]]+)(?:[ \t]*\+[ \t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z_$][\w.${}]*))*)"""
+    r"""(?P<q>["'`]?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,127})(?P=q)[ \t]*(?P<op>:=|=>|=(?!=)|:(?!//|:))[ \t]*(?P<value>(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|\$\{[A-Za-z_]\w*\}|(?i:bearer)[ \t]+[A-Za-z0-9+/_.=~:-]{6,}|[^\s"'`,;#+(){}\[\]]+)(?:[ \t]*\+[ \t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z_$][\w.${}]*))*)"""
 )
-_PART = re.compile(r'''"(?P<d>(?:[^"\\\n]|\\.)*)"|'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>[^`\n]*)`|\$\{(?P<r>[A-Za-z_]\w*)\}|(?P<w>[^\s"'`+]+)''')
+_PART = re.compile(r'''"(?P<d>(?:[^"\\\n]|\\.)*)"|'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>[^`\n]*)`|(?P<h>(?i:bearer)[ \t]+[A-Za-z0-9+/_.=~:-]{6,})|\$\{(?P<r>[A-Za-z_]\w*)\}|(?P<w>[^\s"'`+]+)''')
 _NAME = re.compile(r"\A\$?([A-Za-z_][A-Za-z0-9_.]*)\Z")
 
 
@@ -72,35 +79,81 @@ def name_score(name: str) -> float:
 
 
 def literal_score(value: str) -> float:
-    """0 for a placeholder or a short literal, else between 0.5 and 1 by its entropy."""
-    if len(value) < MIN_CHARS or PLACEHOLDER.match(value) or value[0] in "$<{%" or " " in value.strip():
+    """0 for a placeholder, references or a short literal, else between 0.5 and 1 by its entropy; a scheme such as Bearer isn't counted."""
+    value = _SCHEME.sub("", value.strip())
+    if len(value) < MIN_CHARS or PLACEHOLDER.match(value) or value[0] in "$<{%" and _REFERENCES.match(value):
         return 0.0
     n = len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
     return 0.5 + 0.5 * min(1.0, entropy / 3.5)
 
 
-def lex(text: str) -> list[tuple[str, list[tuple[str, int, int]], list[str]]]:
-    """(name, literals as (value, start, end), names that it refers to) for each assignment, in the order of the text."""
+def lex(text: str) -> list[tuple[str, list[tuple[str, int, int]], list[str], list[tuple[str, str]]]]:
+    """(name, literals as (value, start, end), names that it refers to, parts) for each assignment, in the order of the text.
+
+    parts: (kind, value) of the value's parts in their order; kind is `is` for a literal, `of` for a name."""
     found = []
     for m in _PAIR.finditer(text):
-        literals, refers, at = [], [], m.start("value")
+        literals, refers, parts, at = [], [], [], m.start("value")
         for p in _PART.finditer(m["value"]):
             kind = p.lastgroup
             if kind == "r":
                 refers.append(p["r"])
+                parts.append(("of", p["r"]))
             elif kind == "w":
                 word = p["w"]
                 if n := _NAME.match(word):
                     refers.append(n[1])
-                if not word.startswith("$"):
+                    parts.append(("of", n[1]))
+                if not (n and word.startswith("$")):
                     literals.append((word, at + p.start(), at + p.end()))
             else:
                 literals.append((p[kind], at + p.start(kind), at + p.end(kind)))
-        found.append((m["name"], literals, refers))
+                parts.append(("is", p[kind]))
+        found.append((m["name"], literals, refers, parts))
     return found
 
 
+def folded_scores(pairs) -> list[float]:
+    """For each assignment the highest score of a concatenation that its value is part of, itself or through references; 0 where nothing is joined.
+
+    A name stands for its last assignment before, else its first one after; names in a circle and names that aren't assigned stand for nothing."""
+    if all(len(parts) < 2 for *_, parts in pairs):
+        return [0.0] * len(pairs)
+    places: dict[str, list[int]] = {}
+    for i, (name, *_) in enumerate(pairs):
+        places.setdefault(name, []).append(i)
+
+    def source(name: str, i: int) -> int | None:
+        held = places.get(name, ())
+        j = bisect_left(held, i) if held else 0
+        return held[j - 1] if j else next((k for k in held if k > i), None)
+
+    uses = [[source(v, i) if kind == "of" else None for kind, v in parts] for i, (_, _, _, parts) in enumerate(pairs)]
+    waits = [len({j for j in u if j is not None}) for u in uses]
+    users: dict[int, set[int]] = {}
+    for i, u in enumerate(uses):
+        for j in u:
+            if j is not None:
+                users.setdefault(j, set()).add(i)
+    order = [i for i, n in enumerate(waits) if not n]
+    folded = [""] * len(pairs)
+    for i in order:  # grows as sources are known
+        folded[i] = "".join(folded[j] if j is not None else v if kind == "is" else "" for (kind, v), j in zip(pairs[i][3], uses[i], strict=True))[:MAX_FOLDED]
+        for k in users.get(i, ()):
+            waits[k] -= 1
+            if not waits[k]:
+                order.append(k)
+    scores = [0.0] * len(pairs)
+    for i in reversed(order):
+        if len(pairs[i][3]) > 1:
+            scores[i] = max(scores[i], name_score(pairs[i][0]) * literal_score(folded[i]))
+        for j in uses[i]:
+            if j is not None:
+                scores[j] = max(scores[j], scores[i])
+    return scores
+
+
 def lexed_spans(text: str) -> list[tuple[int, int, int, float]]:
     """(start, kind, end, score) of literals that reach a sensitive name."""
     pairs = lex(text)
@@ -109,7 +162,7 @@ def lexed_spans(text: str) -> list[tuple[int, int, int, float]]:
     # reach[name]: the highest score of a name that this one's value flows into; walked back from sinks to sources.
     reach: dict[str, float] = {}
     sources: dict[str, set[str]] = {}
-    for name, _, refers in pairs:
+    for name, _, refers, _ in pairs:
         reach[name] = max(reach.get(name, 0.0), name_score(name))
         sources.setdefault(name, set()).update(refers)
     todo = [n for n, s in reach.items() if s > 0]
@@ -120,12 +173,12 @@ def lexed_spans(text: str) -> list[tuple[int, int, int, float]]:
                 reach[source] = reach[name]
                 todo.append(source)
     out = {}
-    for name, literals, _ in pairs:
+    for (name, literals, _, parts), joined in zip(pairs, folded_scores(pairs), strict=True):
         for value, start, end in literals:
             if value in reach and value in sources:  # a reference to a constant, not a literal
                 continue
-            score = reach[name] * literal_score(value)
-            if score >= MIN_SCORE:
+            score = max(reach[name] * literal_score(value), joined if ("is", value) in parts else 0.0)
+            if score >= MIN_SCORE and end > start:
                 out[start, 3, end] = max(score, out.get((start, 3, end), 0.0))
     return sorted((*k, v) for k, v in out.items())
 
