@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import ctypes
 import gc
+import shutil
 import sys
 import tempfile
 import uuid
@@ -15,27 +16,69 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset (tests, local mode) one of our own."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset one of our own in local mode, which has one machine, and an error on a cluster."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set: intermediate tables need a folder that driver and executors share")
         where = tempfile.mkdtemp(prefix="rollforge-")
         spark.sparkContext.setCheckpointDir(where)
-        atexit.register(_remove, where)
+        atexit.register(shutil.rmtree, where, ignore_errors=True)
     return where.rstrip("/")
 
 
-def _remove(path: str) -> None:
-    import shutil
-
-    shutil.rmtree(path, ignore_errors=True)
+#: Folders of intermediate tables that this driver has written and not deleted.
+_WRITTEN: list[str] = []
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Cut the lineage: write df as Parquet into the shared folder and read it back."""
+    """Cut the lineage: write df as Parquet into the shared folder and read it back. The table is deleted by drop, sweep or when the driver ends."""
     spark = df.sparkSession
+    if not _WRITTEN:
+        atexit.unregister(_sweep_at_end)
+        atexit.register(_sweep_at_end)
     path = f"{shared_dir(spark)}/rollforge-{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._rollforge_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop(df: DataFrame) -> None:
+    """Delete the table that materialize gave, where nothing needs it any more."""
+    path = getattr(df, "_rollforge_path", None)
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+        _delete(df.sparkSession, path)
+
+
+def written() -> int:
+    """A mark for sweep: how many intermediate tables there are."""
+    return len(_WRITTEN)
+
+
+def sweep(spark: SparkSession, since: int = 0, *, keep: DataFrame | None = None) -> None:
+    """Delete the intermediate tables written since the mark, but for keep."""
+    stay = [p for p in _WRITTEN[since:] if p == getattr(keep, "_rollforge_path", None)]
+    gone = [p for p in _WRITTEN[since:] if p not in stay]
+    _WRITTEN[since:] = stay
+    for path in gone:
+        _delete(spark, path)
+
+
+def _sweep_at_end() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        try:
+            sweep(spark)
+        except Exception:  # the cluster may be gone before the driver; its folder then keeps the tables
+            _WRITTEN.clear()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,22 +1,22 @@
 """Near-duplicate classes by order MinHash, verified by banded alignment.
 
-Items are the runs of SHINGLE words of a text, numbered by occurrence. For each of BANDS hash orders the L
-smallest items are taken, put back into text order and hashed to one key; documents that share a key are candidates.
-Texts of up to SHORT items also get the keys of a prefix filter, which misses no pair of them. A candidate pair is a link if the shingles'
-similarity (shared items by all items, occurrences counted) is at least `threshold` and so is the similarity by edit distance of the words,
-found by alignment inside a band.
-
-Exact copies are joined first, so only different texts meet. Inside a bucket of up to SMALL texts all pairs are
-candidates. A larger bucket names a hub (the text that shares keys with the most others; so the centre of a group of
-near copies) and its first member, and its members are compared with both. After that every two members of a larger bucket that are still in different
-classes, one of them outside the hub's, are a candidate pair if their sizes, sketches and parities leave a link possible: buckets are
-cut by size and dealt in blocks of BLOCK members, and a pair becomes a row only behind those tests. So no pair that shares a key is left out but those that
-links join already. Tests of sketches grow with a bucket's members times those outside its hub's class, fetched texts with the pairs that pass. Classes are the links' connected components.
+Items are the runs of SHINGLE words of a text, numbered by occurrence. For each of BANDS hash orders the L smallest items are taken, put back
+into text order and hashed to one key; texts that share a key are candidates. The alignment decides: a candidate pair is a link if the
+similarity by edit distance of the words (1 - distance / words of the longer text) is `threshold` or more. Classes are the links' connected components.
+
+Exact copies are joined first by a 128-bit digest, so only different texts meet, and texts travel as arrays of 32-bit hashes of their words. No pair becomes a row:
+texts go to cells of bounded size, a cell compares its texts by itself, skips pairs that its links join already, and gives links only.
+
+* A bucket (texts of one key) of up to SMALL texts is a cell; buckets of the same texts are one cell.
+* A larger bucket names a hub, the text that shares keys with the most others (so the centre of a group of near copies). Each member is compared
+  with its bucket's hub once, however many keys they share, in cells of about WORDS words.
+* Members of a larger bucket that the links so far leave outside the hub's class are then compared with all its members of other classes, block by block: nothing is left out.
+  A pair is tested in the first bucket that it shares only. Sizes and bags of words rule out pairs that can't be links before they are aligned; both bounds are exact.
+  Tests grow with a bucket's members times those outside the hub's class.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 
 import numpy as np
@@ -26,18 +26,14 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from .alignment import edit_similarity
-from .common import hold, materialize, slices
+from .common import drop, hold, materialize, slices
 
 SHINGLE, THRESHOLD = 5, 0.8
-BANDS, L, SHORT, SMALL, BLOCK = 24, 4, 12, 8, 2048
-#: Of 64 minimum hashes, 4 bits each, so many must agree before texts are fetched: at a similarity of 0.8, 52 do on
-#: average, and fewer than 36 in about one pair in ten million.
-SKETCH_LEAST = 36
+BANDS, L, SMALL, WORDS = 16, 2, 8, 1 << 18
 
 _G = np.uint64(0x9E3779B97F4A7C15)
 _random = np.random.RandomState(5)
 _BAND = (_random.randint(0, 1 << 32, BANDS, np.uint64) << np.uint64(32) | _random.randint(0, 1 << 32, BANDS, np.uint64)) | np.uint64(1)
-_SKETCH = (_random.randint(0, 1 << 32, 64, np.uint64) << np.uint64(32) | _random.randint(0, 1 << 32, 64, np.uint64)) | np.uint64(1)
 _BLOCK = 8192
 
 
@@ -62,12 +58,15 @@ class _Words(dict):
 _WORDS = _Words()
 
 
-def items_of(words: list[str]) -> np.ndarray:
-    """Hashes of the occurrence-numbered shingles, in text order; a text of fewer words than a shingle is one item, without words none."""
-    if not words:
-        return np.empty(0, np.uint64)
+def hashes_of(words: list[str]) -> np.ndarray:
     get = _WORDS
-    h = np.fromiter([get[w] for w in words], np.uint64, len(words))
+    return np.fromiter([get[w] for w in words], np.uint64, len(words))
+
+
+def items_of(h: np.ndarray) -> np.ndarray:
+    """Hashes of the occurrence-numbered shingles, in text order, of words' hashes; a text of fewer words than a shingle is one item, without words none."""
+    if not len(h):
+        return np.empty(0, np.uint64)
     n = max(1, len(h) - SHINGLE + 1)
     out = np.full(n, np.uint64(min(len(h), SHINGLE)))
     for d in range(min(SHINGLE, len(h))):
@@ -82,12 +81,12 @@ def items_of(words: list[str]) -> np.ndarray:
     return out
 
 
-def keys_and_sketch(items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys (and those of the prefix filter for a short text), and 64 4-bit minimum hashes in four words."""
+def keys_of(items: np.ndarray) -> np.ndarray:
+    """A key for each order: the hash of its L smallest items, in text order. No item, no key."""
     n = len(items)
     if not n:
-        return np.empty(0, np.int64), np.zeros(4, np.int64)
-    best = least = None
+        return np.empty(0, np.int64)
+    best = None
     for a in range(0, n, _BLOCK):  # bounded memory for texts of any length
         x = items[a : a + _BLOCK]
         v = x[None, :] * _BAND[:, None]
@@ -101,201 +100,248 @@ def keys_and_sketch(items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 keep = np.argpartition(v, L - 1, axis=1)[:, :L]
                 v, at = np.take_along_axis(v, keep, 1), np.take_along_axis(at, keep, 1)
         best = v, at
-        low = (x[None, :] * _SKETCH[:, None]).min(1)
-        least = low if least is None else np.minimum(least, low)
     at = np.sort(best[1], axis=1)  # text order
     key = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
     for j in range(at.shape[1]):
         key = _mix(key * _G ^ items[at[:, j]])
-    if n <= SHORT:
-        prefix = n - int(np.ceil(THRESHOLD * n - 1e-9)) + 1
-        key = np.concatenate([key, _mix(np.sort(items)[:prefix] ^ np.uint64(0x5851F42D4C957F2D))])
-    nibbles = _mix(least) >> np.uint64(60)
-    words = (nibbles.reshape(4, 16) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(1, dtype=np.uint64)
-    return key.astype(np.int64), words.astype(np.int64)
+    return key.astype(np.int64)
 
 
-def parity(items: np.ndarray) -> np.ndarray:
-    """1024 bits in 16 words, each the parity of the items that it stands for: two texts' bits differ in at most as many places as items are in one of them only."""
-    odd = np.bincount((items & np.uint64(1023)).astype(np.int64), minlength=1024) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+SKETCHED = "doc_id bigint, row bigint, node binary, keys array<bigint>, words array<int>"
 
 
-SKETCHED = "doc_id bigint, node bigint, n int, s0 bigint, s1 bigint, s2 bigint, s3 bigint, bits array<bigint>, keys array<bigint>"
+def _lists(parts: list[np.ndarray], kind) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, kind), *parts])))
 
 
-def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, node (hash of the text), number of items, sketch, parities and keys for each row of docs (doc_id, node, text)."""
+def sketch(rows: DataFrame) -> DataFrame:
+    """SKETCHED for each of rows (doc_id, row, node, text): keys, one for each order, and the words' 32-bit hashes."""
 
     def run(batches):
         hold("words", _WORDS.clear)
-        for batch in slices(batches):
-            n, sketches, bits, keys, sizes = [], [], [], [], [0]
+        for batch in slices(batches, 256):
+            keys, words = [], []
             for text in batch.column("text").to_pylist():
-                items = items_of((text or "").split())
-                key, s = keys_and_sketch(items)
-                n.append(len(items))
-                sketches.append(s)
-                bits.append(parity(items))
-                keys.append(key)
-                sizes.append(len(key))
-            s = np.array(sketches).reshape(-1, 4)
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum(sizes).astype(np.int32)), pa.array(np.concatenate([np.empty(0, np.int64), *keys])))
-            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * 16), pa.array(np.concatenate([np.empty(0, np.int64), *bits])))
-            columns = [batch.column("doc_id"), batch.column("node"), pa.array(n, pa.int32()), *(pa.array(np.ascontiguousarray(s[:, i])) for i in range(4)), bits, lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "s0", "s1", "s2", "s3", "bits", "keys"])
-
-    ship(docs.sparkSession)
-    return docs.mapInArrow(run, SKETCHED)
+                h = hashes_of((text or "").split())
+                keys.append(keys_of(items_of(h)))
+                words.append((h >> np.uint64(32)).astype(np.uint32).view(np.int32))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "row", "node")), _lists(keys, np.int64), _lists(words, np.int32)], names=["doc_id", "row", "node", "keys", "words"])
+
+    ship(rows.sparkSession)
+    return rows.mapInArrow(run, SKETCHED)
 
 
 def similar(a: str, b: str, threshold: float = THRESHOLD) -> bool:
-    """Whether two texts are near-duplicates: by shared shingles, then by alignment."""
-    x, y = a.split(), b.split()
-    one, two = np.sort(items_of(x)), np.sort(items_of(y))
-    both = len(np.intersect1d(one, two, assume_unique=True))
-    if both < threshold * (len(one) + len(two) - both) - 1e-9:
-        return False
-    return edit_similarity(x, y, threshold) >= threshold - 1e-9
+    """Whether the alignment makes two texts near-duplicates."""
+    return _near(a.split(), b.split(), threshold)
+
+
+def _near(a: list, b: list, threshold: float) -> bool:
+    return edit_similarity(a, b, threshold) >= threshold - 1e-9
+
+
+class Classes:
+    """Union of hashable names."""
+
+    def __init__(self):
+        self.up = {}
+
+    def top(self, x):
+        while (y := self.up.get(x, x)) != x:
+            self.up[x] = x = self.up.get(y, y)
+        return x
+
+    def join(self, x, y) -> None:
+        self.up[self.top(y)] = self.top(x)
+
+
+def _cells(batches):
+    """Tables of the rows of one cell each, of batches in the order of cells."""
+    held, current = [], None
+    for batch in batches:
+        cells = batch.column("cell").to_numpy()
+        cuts = [0, *(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(cells)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a == b:
+                continue
+            if held and cells[a] != current:
+                yield pa.Table.from_batches(held)
+                held = []
+            current = cells[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
 
+LINK = "a binary, b binary"
 
-def verify(pairs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b, text_a, text_b) that are links."""
+
+def _links_of_cells(cells: DataFrame, compare) -> DataFrame:
+    """The links (a, b) that compare(table) gives for each cell."""
 
     def run(batches):
-        hold("words", _WORDS.clear)
-        for batch in slices(batches):
-            good = [similar(x, y, threshold) for x, y in zip(batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist(), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    ship(pairs.sparkSession)
-    return pairs.mapInArrow(run, "a bigint, b bigint")
-
-
-def _agree(p, q) -> Column:
-    """How many of the 64 4-bit hashes agree; p and q give a sketch's column by its name."""
-    total = F.lit(0)
-    for i in range(4):
-        x = p(f"s{i}").bitwiseXOR(q(f"s{i}"))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x1111111111111111))
-        total = total + (F.lit(16) - F.bit_count(x))
-    return total
-
-
-def _may_link(p, q, threshold: float) -> Column:
-    """Whether sizes, sketches and parities leave a pair possible; sizes and parities rule out no link."""
-    differ = sum((F.bit_count(F.get(p("bits"), F.lit(i)).bitwiseXOR(F.get(q("bits"), F.lit(i)))) for i in range(16)), F.lit(0))
-    most = (p("n") + q("n")) * F.lit((1 - threshold) / (1 + threshold)) + F.lit(1e-6)
-    return (F.least(p("n"), q("n")) >= F.lit(threshold) * F.greatest(p("n"), q("n"))) & (_agree(p, q) >= SKETCH_LEAST) & (differ <= most)
-
-
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Those of pairs (a, b) that verify. nodes: node, n, sketch and the row that holds the text."""
-    a, b = nodes.alias("p"), nodes.alias("q")
-    near = (
-        pairs.join(a, F.col("a") == F.col("p.node"))
-        .join(b, F.col("b") == F.col("q.node"))
-        .where(_may_link(lambda c: F.col(f"p.{c}"), lambda c: F.col(f"q.{c}"), threshold))
-        .select("a", "b")
-    )
-    near = materialize(near, "near")
-    wanted = near.select(F.col("a").alias("node")).union(near.select(F.col("b").alias("node"))).distinct()
-    wanted = wanted.join(nodes.select("node", "row"), "node")
-    texts = docs.join(wanted, ["row", "node"]).select("node", "text").dropDuplicates(["node"])
-    texts = materialize(texts, "texts")
-    held = near.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    held = held.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return materialize(verify(held.select("a", "b", "text_a", "text_b"), threshold), "links")
+        for cell in _cells(batches):
+            if links := compare(cell):
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+    ship(cells.sparkSession)
+    return cells.repartition("cell").sortWithinPartitions("cell").mapInArrow(run, LINK)
+
+
+def compare_small(cell: pa.Table, threshold: float) -> list[tuple[bytes, bytes]]:
+    """Links of a cell (node, hub, words): of its hub with each member, or without a hub of all its texts, as few as join them."""
+    nodes, words, hub = cell["node"].to_pylist(), cell["words"].to_pylist(), cell["hub"].to_pylist()
+    if any(hub):
+        hubs = [i for i, x in enumerate(hub) if x]
+        return [(nodes[h], nodes[i]) for h in hubs for i in range(len(nodes)) if nodes[i] != nodes[h] and _near(words[h], words[i], threshold)]
+    found, out = Classes(), []
+    for i in range(len(nodes)):
+        for j in range(i):
+            if nodes[i] != nodes[j] and found.top(i) != found.top(j) and _near(words[i], words[j], threshold):
+                found.join(i, j)
+                out.append((nodes[j], nodes[i]))
+    return out
+
+
+def _bag(words: np.ndarray) -> np.ndarray:
+    """2048 bits, each the parity of the words that it stands for: two texts' bits differ in at most as many places as words are in one of them only."""
+    odd = np.bincount(words.view(np.uint32) & np.uint32(2047), minlength=2048) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def compare_outside(cell: pa.Table, threshold: float) -> list[tuple[bytes, bytes]]:
+    """Links between the probes and the other rows of a cell (node, probe, out, comp, band, keys, words), as few as join their classes.
+
+    A pair whose keys meet in an earlier order is left to that bucket, a pair of two probes to the probe with the smaller name."""
+    nodes, probe = cell["node"].to_pylist(), np.array(cell["probe"].to_pylist(), bool)
+    if not probe.any() or probe.all():
+        return []
+    comps, band = cell["comp"].to_pylist(), cell["band"][0].as_py()
+    flat = cell["words"].combine_chunks()
+    words = [np.asarray(x.values) for x in flat]
+    n = np.array([len(w) for w in words], np.int64)
+    bags = np.stack([_bag(w) for w in words])
+    keys = np.array(cell["keys"].to_pylist(), np.int64)[:, :band]
+    number = {c: i for i, c in enumerate(sorted(set(comps)))}
+    comp = np.array([number[c] for c in comps])
+    rank = np.empty(len(nodes), np.int64)
+    rank[sorted(range(len(nodes)), key=nodes.__getitem__)] = np.arange(len(nodes))
+    at, out = np.flatnonzero(~probe), np.array(cell["out"].to_pylist(), bool)
+    found, links, as_list = Classes(), [], {}
+
+    def lists(i: int) -> list:
+        if i not in as_list:
+            as_list[i] = words[i].tolist()
+        return as_list[i]
+
+    for p in np.flatnonzero(probe).tolist():
+        most = np.floor((1 - threshold) * np.maximum(n[at], n[p]) + 1e-9)
+        ok = (comp[at] != comp[p]) & (~out[at] | (rank[at] > rank[p])) & (np.abs(n[at] - n[p]) <= most)
+        may = at[ok]
+        if not len(may):
+            continue
+        # What is in one text only, both sides together; with the difference of sizes it gives the larger side.
+        apart = np.bitwise_count(bags[may] ^ bags[p]).sum(1).astype(np.int64) + np.abs(n[may] - n[p])
+        ok = (apart <= 2 * most[ok]) & ~(keys[may] == keys[p]).any(1)
+        may, apart = may[ok], apart[ok]
+        for q in may[np.argsort(apart, kind="stable")].tolist():
+            if found.top(comps[p]) != found.top(comps[q]) and _near(lists(p), lists(q), threshold):
+                found.join(comps[p], comps[q])
+                links.append((nodes[p], nodes[q]))
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
     """node, comp (the smallest node that it reaches) for each node of links (a, b): smallest labels travel over links, and labels jump to their labels' labels."""
     both = materialize(links.select("a", "b").union(links.select("b", "a")), "arcs")
     labels = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
-    labels = materialize(labels.select("node", F.least("node", "low").alias("comp")), "labels")
+    labels = kept = materialize(labels.select("node", F.least("node", "low").alias("comp")), "labels")
+    if labels.isEmpty():
+        return labels
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
         new = labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         jump = labels.select(F.col("node").alias("via"), F.col("comp").alias("far"))
         new = new.join(jump, new["comp"] == jump["via"], "left").select("node", "old", F.least("comp", "far").alias("comp"))
         new = materialize(new, "labels")
-        labels = new.select("node", "comp")
+        drop(kept)
+        labels, kept = new.select("node", "comp"), new
         if not new.where("comp < old").limit(1).count():
             return labels
 
 
-def _hubs(members: DataFrame) -> DataFrame:
-    """For each key of members (key, node, weight): the heaviest node (ties: the smallest) and the smallest."""
-    got = members.groupBy("key").agg(F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("top"), F.min("node").alias("low"))
-    return got.select("key", (-F.col("top.minus")).alias("hub"), "low")
-
-
-def _unmet(large: DataFrame, hubs: DataFrame, labels: DataFrame, sides: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of members of a large bucket that are in different classes and may link, each at least once.
-
-    Two members in different classes aren't both in the hub's class, so those outside it (`out`) are met with all. Sizes of a link's
-    texts are in the same or in neighbouring classes of size; a class of more than BLOCK members is dealt to blocks."""
-    named = hubs.select("key", "hub").join(labels.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hub", "left")
-    named = named.select("key", F.coalesce("hub_comp", "hub").alias("hub_comp"))
-    width = math.log(1 / max(threshold, 1e-3)) + 1e-9
-    held = large.select("key", "node").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")).join(named, "key")
-    held = held.withColumn("out", F.col("comp") != F.col("hub_comp")).drop("hub_comp").join(sides.drop("row"), "node")
-    held = materialize(held.withColumn("range", F.floor(F.log("n") / width).cast("int")), "held")
-    # Buckets that are one class are done.
-    ranges = held.groupBy("key", "range").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    ranges = materialize(ranges.join(held.where("out").select("key").distinct(), "key"), "ranges")
-    met = held.join(ranges, ["key", "range"]).withColumn("block", F.expr("cast(pmod(node, blocks) as int)")).drop("blocks")
-    probes = held.where("out").drop("out").withColumn("range", F.explode(F.array(F.col("range") - 1, F.col("range"), F.col("range") + 1)))
-    probes = probes.join(ranges, ["key", "range"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-    x, y = probes.alias("x"), met.alias("y")
-    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("key", "range", "block")]
-    once = ~F.col("y.out") | (F.col("x.node") < F.col("y.node"))
-    may = _may_link(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"), threshold)
-    found = x.join(y, same[0] & same[1] & same[2] & (F.col("x.comp") != F.col("y.comp")) & once & may)
-    return found.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+def _blocks(total: Column) -> Column:
+    return F.greatest(F.ceil(total / WORDS), F.lit(1)).cast("int")
+
+
+def _block(node: str, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lit(3), node), blocks).cast("int")
+
+
+def _first_links(shared: DataFrame, hubs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links inside small buckets, and of large buckets' members with their hubs."""
+    small = shared.where(F.col("size") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all")).select("all").distinct()
+    small = small.select(F.xxhash64("all").bitwiseAND(F.lit(-2)).alias("cell"), F.explode("all").alias("node"), F.lit(False).alias("hub"))
+    led = shared.where(F.col("size") > SMALL).join(hubs, "key").where("node <> hub").select("hub", "node", "n").distinct()
+    sizes = led.groupBy("hub").agg(_blocks(F.sum("n")).alias("blocks"))
+    of = lambda block: F.xxhash64(F.lit(1), "hub", block).bitwiseOR(F.lit(1)).alias("cell")
+    led = led.join(sizes, "hub").select(of(_block("node", F.col("blocks"))), "node", F.lit(False).alias("hub"))
+    own = sizes.select("hub", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")).select(of(F.col("block")), F.col("hub").alias("node"), F.lit(True).alias("hub"))
+    cells = small.union(led).union(own).join(texts.drop("keys"), "node")
+    return _links_of_cells(cells, lambda cell: compare_small(cell, threshold))
+
+
+def _more_links(shared: DataFrame, hubs: DataFrame, labels: DataFrame, texts: DataFrame, threshold: float) -> DataFrame | None:
+    """Links of members of large buckets that are outside their hub's class; None if there is no such member.
+
+    Two members in different classes aren't both in the hub's class, so those outside it are met with all. Outsiders and members are
+    dealt to blocks of about WORDS words; a cell holds a block of each."""
+    named = hubs.join(labels.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hub", "left").select("key", F.coalesce("hub_comp", "hub").alias("hub_comp"))
+    members = shared.where(F.col("size") > SMALL).join(labels, "node", "left").join(named, "key")
+    members = members.select("key", "band", "node", "n", F.coalesce("comp", "node").alias("comp"), "hub_comp").withColumn("out", F.col("comp") != F.col("hub_comp")).drop("hub_comp")
+    members = materialize(members, "members")
+    sizes = members.groupBy("key").agg(_blocks(F.sum("n")).alias("blocks"), F.sum(F.when(F.col("out"), F.col("n"))).alias("out_n")).where("out_n is not null")
+    sizes = materialize(sizes.select("key", "blocks", _blocks(F.col("out_n")).alias("out_blocks")), "sizes")
+    if sizes.isEmpty():
+        return None
+    dealt = members.join(sizes, "key").select("*", _block("node", F.col("blocks")).alias("at"), _block("node", F.col("out_blocks")).alias("out_at"))
+    kept = ["node", "comp", "out", "band"]
+    targets = dealt.select("key", "at", F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)).alias("out_at"), F.lit(False).alias("probe"), *kept)
+    probes = dealt.where("out").select("key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("at"), "out_at", F.lit(True).alias("probe"), *kept)
+    cells = targets.unionByName(probes).select(F.xxhash64(F.lit(2), "key", "at", "out_at").alias("cell"), "probe", *kept)
+    cells = cells.join(texts, "node")
+    return materialize(_links_of_cells(cells, lambda cell: compare_outside(cell, threshold)), "links")
 
 
 def classes(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of its class), class_size for each row of docs (doc_id, text).
 
-    Exact copies, empty and null texts among them, are one class; a text of fewer than SHINGLE words is near only to the same words.
-    Repeated rows count as copies; rows without doc_id have the class's id, null if no row of it has one; an empty table
+    Exact copies, empty and null texts among them, are one class; a text without words is near to equal ones only, and a text of fewer than SHINGLE words to
+    the same words. Repeated rows count as copies; rows without doc_id have the class's id, null if no row of it has one; an empty table
     gives an empty result; other columns are ignored."""
     return _classes(docs, threshold)[0].select("doc_id", "class_id", "class_size")
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _row(docs).alias("row"), _node(docs).alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-
-
 def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node, class_id, class_size, first: the class's row that stays, first_node), and the rows with their keys."""
-    rows = _rows(docs)
-    held = materialize(sketch(rows.select("doc_id", "node", "text")), "sketch")
-    of_node = [F.first(c).alias(c) for c in ("n", "s0", "s1", "s2", "s3", "bits", "keys")]
-    nodes = held.groupBy("node").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"), *of_node)
-    nodes = materialize(nodes.withColumn("row", F.coalesce("low", "node")), "nodes")
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
-    counts = materialize(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "counts")
+    """(doc_id, node, class_id, class_size, first: the class's row that stays), and the nodes with their class."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _row(docs).alias("row"), _node(docs).alias("node"), "text")
+    held = materialize(sketch(rows), "sketch")
+    nodes = held.groupBy("node").agg(F.min("doc_id").alias("low"), F.min_by("row", F.struct(F.col("doc_id").isNull(), "row")).alias("row"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys"), F.first(F.size("words")).alias("n"))
+    nodes = materialize(nodes, "nodes")
+    keyed = nodes.select("node", "n", F.posexplode("keys").alias("band", "key"))
+    counts = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     shared = materialize(keyed.join(counts, "key"), "shared")
-    weights = materialize(shared.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
-    shared = materialize(shared.join(weights, "node"), "members")
-    ordered = lambda df: df.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    small = shared.where(F.col("size") <= SMALL).groupBy("key").agg(F.collect_list("node").alias("all"))
-    pairs = small.select(F.explode("all").alias("a"), "all").select("a", F.explode("all").alias("b")).where("a < b")
+    of = shared.select("node").distinct().join(nodes.select("node", "row"), "node")
+    texts = held.select("row", "node", "keys", "words").join(of, ["row", "node"]).dropDuplicates(["node"])  # rows of one id and text are one
+    texts = materialize(texts.drop("row"), "texts")
     large = shared.where(F.col("size") > SMALL)
-    hubs = materialize(_hubs(large), "hubs")
-    led = large.join(hubs, "key")
-    pairs = pairs.union(led.select(F.col("node").alias("a"), F.col("hub").alias("b"))).union(led.select(F.col("node").alias("a"), F.col("low").alias("b")))
-    tested = materialize(ordered(pairs), "pairs")
-    sides = nodes.select("node", "row", "n", "s0", "s1", "s2", "s3", "bits")
-    links = _links(tested, sides, rows, threshold)
+    weights = large.groupBy("node").agg(F.sum("size").alias("weight"))
+    hubs = materialize(large.join(weights, "node").groupBy("key").agg(F.max_by("node", F.struct("weight", "node")).alias("hub")), "hubs")
+    links = materialize(_first_links(shared, hubs, texts, threshold), "links")
     labels = components(links)
-    new = ordered(_unmet(large, hubs, labels, sides, threshold)).join(tested, ["a", "b"], "left_anti")
-    more = _links(materialize(new, "pairs"), sides, rows, threshold)
-    if more.limit(1).count():
+    more = None if hubs.isEmpty() else _more_links(shared, hubs, labels, texts, threshold)
+    if more is not None and not more.isEmpty():
         labels = components(links.union(more))
 
     of_class = nodes.select("node", "low", "row", "copies").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -313,9 +359,9 @@ def deduplicate(docs: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def _row(docs: DataFrame) -> Column:
-    return F.coalesce(docs["doc_id"].cast("bigint"), _node(docs))
+    return F.coalesce(docs["doc_id"].cast("bigint"), F.xxhash64(F.lit(6), F.coalesce(docs["text"], F.lit(""))))
 
 
 def _node(docs: DataFrame) -> Column:
-    """A hash of the text; half of the range, so that it can be negated."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(6), F.coalesce(docs["text"], F.lit(""))), 1)
+    """A text's name: 128 bits of its SHA-256, so that no two different texts meet in practice (about 2 ** -61 for 2e10 documents)."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(docs["text"], F.lit("")), 256), 1, 32))
