@@ -346,6 +346,7 @@ def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
 
     of_class = nodes.select("node", "low", "row", "copies").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     summed = of_class.groupBy("comp").agg(F.min("low").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct(F.col("low").isNull().alias("none"), "row", "node")).alias("first"))
+    summed = materialize(summed, "summed")  # behind a table the join is one that a large class's rows can be split in
     of_node = materialize(of_class.select("node", "comp").join(summed, "comp").select("node", "class_id", "class_size", "first"), "classes")
     return held.select("doc_id", "node").join(of_node, "node"), of_node
 

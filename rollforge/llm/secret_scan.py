@@ -1,9 +1,11 @@
 """Secret scans: fixed patterns, and an assignment-aware lexer.
 
-The lexer reads source and configuration syntax into (name, value) pairs: `name = value`, `name: value`, `name := value`,
-`name => value`, with names bare, dotted or quoted and values made of string literals, bare words and references
-(`other`, `$other`, `${other}`) joined by +. Constants are propagated: a literal also carries each name that it
-reaches through references, to a fixed point, and a part of a concatenation the score of the whole. It is scored by the most sensitive of its names, how much it looks like
+The lexer reads source and configuration syntax into (name, value) pairs. Targets are names, bare, dotted, quoted, annotated (`name: type =`) or subscripts
+(`env["name"] =`), before `=`, `:`, `:=` or `=>`, and the elements and key/value attributes of XML. Values are read by a scanner: string literals in
+single, double, triple or back quotes with prefixes and escapes, block scalars (`name: |`), bare words, references (`other`, `$other`, `${other}`) and calls,
+joined by +, by standing next to each other or over lines inside brackets. What stands in comments or inside strings is read like the rest.
+Constants are propagated: a literal also carries each name that it reaches through references, to a fixed point, and a part of a
+concatenation the score of the whole. It is scored by the most sensitive of its names, how much it looks like
 a placeholder, and its entropy; literals of MIN_SCORE or more become spans of kind `literal`.
 """
 
@@ -37,18 +39,31 @@ SENSITIVE = (
 #: Words that show that a name holds something about a secret, not the secret.
 HARMLESS = frozenset("count length len size max min limit type name path file url uri regex pattern policy hint label field id expiry expires ttl".split())
 PLACEHOLDER = re.compile(r"(?i)\A(?:x+|\*+|\.+|none|null|true|false|test|example|changeme|change_me|your.*|placeholder|todo|dummy|<.*>|redacted)\Z")
-MIN_SCORE, MIN_CHARS = 0.55, 6
+MIN_SCORE, MIN_CHARS, SHORT = 0.55, 6, 4096
 #: A scheme before a credential, and a value made of references only.
 _SCHEME = re.compile(r"(?i)\A(?:bearer|basic|digest|token)[ \t]+")
 _REFERENCE = r"(?>\$\{[^}]*\}|\$\([^)]*\)|\$(?:[A-Z_][A-Z0-9_]*|[A-Za-z_.]+)(?![A-Za-z0-9])|\{\{[^{}]*\}\}|\{[A-Za-z_][\w.]*\}|<[^>]*>|%\(\w+\)s|%[sd](?!\w)|%[^%\s]*%)"
 _REFERENCES = re.compile(rf"\A{_REFERENCE}(?:[\s:/@._-]*+{_REFERENCE})*+\Z")
-#: A folded value is followed so far.
-MAX_FOLDED = 4096
-
-_PAIR = re.compile(
-    r"""(?P<q>["'`]?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,127})(?P=q)[ \t]*(?P<op>:=|=>|=(?!=)|:(?!//|:))[ \t]*(?P<value>(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`|\$\{[A-Za-z_]\w*\}|(?i:bearer)[ \t]+[A-Za-z0-9+/_.=~:-]{6,}|[^\s"'`,;#+(){}\[\]]+)(?:[ \t]*\+[ \t]*(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z_$][\w.${}]*))*)"""
+_HEAD = re.compile(
+    r"""(?<![A-Za-z0-9_.\-])[.\-$]*+(?P<q>["'`]?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)(?P=q)(?P<sub>(?:\[[ \t]*+(?:"[^"\n]*+"|'[^'\n]*+'|[A-Za-z0-9_]++)[ \t]*+\])*+)[ \t]*+
+    (?P<op>:=|=>|=(?!=)|:[ \t]*+(?P<type>[A-Za-z_][A-Za-z0-9_.\[\]|,\-]*+)[ \t]*+=(?!=)|:(?!//|:))""",
+    re.X,
+)
+_ELEMENT = re.compile(r"<(?P<name>[A-Za-z_][A-Za-z0-9_.:\-]*+)(?:\s[^<>]*+)?>(?P<value>[^<]++)</(?P=name)\s*+>")
+_ATTRIBUTES = re.compile(r"""\b(?:key|name)\s*+=\s*+(["'])(?P<name>[A-Za-z_][A-Za-z0-9_.:\-]*+)\1\s++value\s*+=\s*+(?:"(?P<d>[^"<]*+)"|'(?P<s>[^'<]*+)')""")
+_SUBSCRIPT = re.compile(r"""["']([^"'\]]*)["'][ \t]*\]\Z""")
+_SPACE, _LINES = re.compile(r"(?:[ \t]|\\\r?\n)*+"), re.compile(r"\s*+")
+_STRING = re.compile(
+    r'[rRbBuUfF]{0,2}(?:"""(?P<td>(?:[^"\\]|\\.|"(?!""))*+)"""|'
+    r"'''(?P<ts>(?:[^'\\]|\\.|'(?!''))*+)'''|"
+    r'"(?P<d>(?:[^"\\\n]|\\.)*+)"|'
+    r"'(?P<s>(?:[^'\\\n]|\\.)*+)'|`(?P<b>[^`]*+)`)",
+    re.S,
 )
-_PART = re.compile(r'''"(?P<d>(?:[^"\\\n]|\\.)*)"|'(?P<s>(?:[^'\\\n]|\\.)*)'|`(?P<b>[^`\n]*)`|(?P<h>(?i:bearer)[ \t]+[A-Za-z0-9+/_.=~:-]{6,})|\$\{(?P<r>[A-Za-z_]\w*)\}|(?P<w>[^\s"'`+]+)''')
+_BEARER = re.compile(r"(?i:bearer)[ \t]+[A-Za-z0-9+/_.=~:-]{6,}")
+_BRACED = re.compile(r"\$\{([A-Za-z_]\w*)\}")
+_WORD = re.compile(r"""[^\s"'`,;#+(){}\[\]]+""")
+_SCALAR = re.compile(r"[|>][+\-0-9]*[ \t]*\r?\n")
 _NAME = re.compile(r"\A\$?([A-Za-z_][A-Za-z0-9_.]*)\Z")
 
 
@@ -78,14 +93,102 @@ def name_score(name: str) -> float:
     return best * 0.4 if best and low.rsplit("_", 1)[-1] in HARMLESS else best
 
 
+def _spread(n: int, counts: Counter) -> float:
+    """Between 0.5 and 1 by the entropy of n characters."""
+    return 0.5 + 0.5 * min(1.0, -sum(c / n * math.log2(c / n) for c in counts.values()) / 3.5)
+
+
 def literal_score(value: str) -> float:
     """0 for a placeholder, references or a short literal, else between 0.5 and 1 by its entropy; a scheme such as Bearer isn't counted."""
     value = _SCHEME.sub("", value.strip())
     if len(value) < MIN_CHARS or PLACEHOLDER.match(value) or value[0] in "$<{%" and _REFERENCES.match(value):
         return 0.0
-    n = len(value)
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
-    return 0.5 + 0.5 * min(1.0, entropy / 3.5)
+    return _spread(len(value), Counter(value))
+
+
+def _block_scalar(text: str, head: int, at: int) -> tuple[int, int]:
+    """From the first to the last character of the lines from `at` that are indented further than the line of `head`; blank lines inside count."""
+    line = text.rfind("\n", 0, head) + 1
+    indent = len(text[line:head]) - len(text[line:head].lstrip(" \t-"))
+    start = end = None
+    while at < len(text):
+        stop = text.find("\n", at)
+        stop = len(text) if stop < 0 else stop
+        own = text[at:stop]
+        if own.strip():
+            if len(own) - len(own.lstrip(" \t")) <= indent:
+                break
+            start = at + len(own) - len(own.lstrip()) if start is None else start
+            end = at + len(own.rstrip())
+        at = stop + 1
+    return (start, end) if start is not None else (at, at)
+
+
+def read_value(text: str, head: int, at: int) -> list[tuple[str, str, int, int]]:
+    """Parts (kind, value, start, end) of the value that begins at `at`, of an assignment that begins at head.
+
+    kind: `is` a literal, `of` a name that is referred to, `word` a bare word that may be either."""
+    at = _SPACE.match(text, at).end()
+    if m := _SCALAR.match(text, at):
+        start, end = _block_scalar(text, head, m.end())
+        return [("is", text[start:end], start, end)] if end > start else []
+    out, depth, string = [], 0, False
+    while True:
+        while text.startswith("(", at):
+            depth += 1
+            at = _LINES.match(text, at + 1).end()
+        if m := _STRING.match(text, at):
+            kind = m.lastgroup
+            out.append(("is", m[kind], m.start(kind), m.end(kind)))
+            string = True
+        elif m := _BEARER.match(text, at):
+            out.append(("is", m[0], m.start(), m.end()))
+            string = False
+        elif m := _BRACED.match(text, at):
+            out.append(("of", m[1], m.start(), m.end()))
+            string = False
+        elif m := _WORD.match(text, at):
+            if not text.startswith("(", m.end()):  # a call's name is no value
+                out.append(("word", m[0], m.start(), m.end()))
+            string = False
+        else:
+            return out
+        at = m.end()
+        space = _LINES if depth else _SPACE
+        behind = space.match(text, at).end()
+        while depth and text.startswith(")", behind):
+            depth -= 1
+            behind = (_LINES if depth else _SPACE).match(text, behind + 1).end()
+        if text.startswith("+", behind) and not text.startswith("+=", behind):
+            at = _LINES.match(text, behind + 1).end()
+        elif string and _STRING.match(text, behind):
+            at = behind
+        else:
+            return out
+
+
+def _targets(text: str) -> list[tuple[int, str, list]]:
+    """(start, name, parts of the value) for each assignment."""
+    found, at = [], 0
+    while m := _HEAD.search(text, at):
+        at = m.end()
+        sub = _SUBSCRIPT.search(m["sub"])
+        value = read_value(text, m.start("name"), m.end())
+        found.append((m.start("name"), sub[1] if sub else m["name"], value))
+        if m["type"]:  # or a label before an assignment to what looks like a type
+            found.append((m.start("type"), m["type"], value))
+        for kind, word, _, end in value:  # a bare word is read as a whole; strings may hold assignments of their own
+            if kind == "word" and ("=" in word or ":" in word):
+                at = max(at, end)
+    if "</" in text:
+        for m in _ELEMENT.finditer(text):
+            value = m["value"].strip()
+            start = m.start("value") + len(m["value"]) - len(m["value"].lstrip())
+            found.append((m.start(), m["name"], [("is", value, start, start + len(value))] if value else []))
+    if "value" in text:
+        for m in _ATTRIBUTES.finditer(text):
+            found.append((m.start(), m["name"], [("is", m[m.lastgroup], m.start(m.lastgroup), m.end(m.lastgroup))]))
+    return sorted(found, key=lambda x: x[0])
 
 
 def lex(text: str) -> list[tuple[str, list[tuple[str, int, int]], list[str], list[tuple[str, str]]]]:
@@ -93,24 +196,20 @@ def lex(text: str) -> list[tuple[str, list[tuple[str, int, int]], list[str], lis
 
     parts: (kind, value) of the value's parts in their order; kind is `is` for a literal, `of` for a name."""
     found = []
-    for m in _PAIR.finditer(text):
-        literals, refers, parts, at = [], [], [], m.start("value")
-        for p in _PART.finditer(m["value"]):
-            kind = p.lastgroup
-            if kind == "r":
-                refers.append(p["r"])
-                parts.append(("of", p["r"]))
-            elif kind == "w":
-                word = p["w"]
-                if n := _NAME.match(word):
-                    refers.append(n[1])
-                    parts.append(("of", n[1]))
-                if not (n and word.startswith("$")):
-                    literals.append((word, at + p.start(), at + p.end()))
-            else:
-                literals.append((p[kind], at + p.start(kind), at + p.end(kind)))
-                parts.append(("is", p[kind]))
-        found.append((m["name"], literals, refers, parts))
+    for _, name, value in _targets(text):
+        literals, refers, parts = [], [], []
+        for kind, word, start, end in value:
+            if kind == "is":
+                literals.append((word, start, end))
+                parts.append(("is", word))
+                continue
+            n = _NAME.match(word)
+            if n:
+                refers.append(n[1])
+                parts.append(("of", n[1]))
+            if kind == "word" and not (n and word.startswith("$")):
+                literals.append((word, start, end))
+        found.append((name, literals, refers, parts))
     return found
 
 
@@ -137,9 +236,14 @@ def folded_scores(pairs) -> list[float]:
             if j is not None:
                 users.setdefault(j, set()).add(i)
     order = [i for i, n in enumerate(waits) if not n]
-    folded = [""] * len(pairs)
+    # A folded value is its text, or beyond SHORT characters, where it is no placeholder, its length and counts of characters: chains of doublings grow no text.
+    folded: list = [("", 0, Counter())] * len(pairs)
     for i in order:  # grows as sources are known
-        folded[i] = "".join(folded[j] if j is not None else v if kind == "is" else "" for (kind, v), j in zip(pairs[i][3], uses[i], strict=True))[:MAX_FOLDED]
+        held = [folded[j] if j is not None else (v, len(v), Counter(v)) for (kind, v), j in zip(pairs[i][3], uses[i], strict=True) if j is not None or kind == "is"]
+        n, counts = sum(h[1] for h in held), Counter()
+        for h in held:
+            counts.update(h[2])
+        folded[i] = ("".join(h[0] for h in held) if n <= SHORT else None, n, counts)
         for k in users.get(i, ()):
             waits[k] -= 1
             if not waits[k]:
@@ -147,7 +251,8 @@ def folded_scores(pairs) -> list[float]:
     scores = [0.0] * len(pairs)
     for i in reversed(order):
         if len(pairs[i][3]) > 1:
-            scores[i] = max(scores[i], name_score(pairs[i][0]) * literal_score(folded[i]))
+            value, n, counts = folded[i]
+            scores[i] = max(scores[i], name_score(pairs[i][0]) * (literal_score(value) if value is not None else _spread(n, counts)))
         for j in uses[i]:
             if j is not None:
                 scores[j] = max(scores[j], scores[i])
@@ -187,7 +292,7 @@ def find(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int,
     """Base spans and the lexer's, of a whole text; null counts as empty."""
     text = text or ""
     low = text.lower()
-    lexed = lexed_spans(text) if ("=" in text or ":" in text) and may_name(low) else []
+    lexed = lexed_spans(text) if ("=" in text or ":" in text or "</" in text) and may_name(low) else []
     return base_spans(text, low), lexed
 
 
