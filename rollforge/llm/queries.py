@@ -86,23 +86,22 @@ def op10_license_scan(spark, sf_dir):
 
 def _op10_sql() -> str:
     word = license_scan.WORD
-    places, labels, shares = [], [], []
+    places, labels, shares, names = [], [], [], []
     for phrase, label in license_scan.PHRASES:
         test = " AND ".join(f"ws[i + {d + 1}] = '{p}'" for d, p in enumerate(phrase.split()))
         places.append(f"list_filter(range(len(ws)), lambda i: {test})")
         labels.append(label)
-    for _, text in license_scan.TEMPLATES:
-        held = sorted(set(text.split()))
-        need = license_scan.plan_templates([("", text)], {}, license_scan.THRESHOLD)[0]["need"]
-        both = f"len(list_intersect(b, [{', '.join(repr(w) for w in held)}]))"
-        shares.append(f"list_max(list_transform(blocks, lambda b: CASE WHEN {both} >= {need} THEN {both} / {len(held)}.0 ELSE 0.0 END))")
+    quoted = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
+    for p in license_scan.plan_templates(license_scan.TEMPLATES, {}, license_scan.THRESHOLD):
+        blocks = f"list_transform(range((len(ws) + {p['hop'] - 1}) // {p['hop']}), lambda k: list_distinct(ws[k * {p['hop']} + 1 : (k + 2) * {p['hop']}]))"
+        both = f"len(list_intersect(b, {quoted(p['words'])}))"
+        shares.append(f"coalesce(list_max(list_transform({blocks}, lambda b: CASE WHEN {both} >= {p['need']} AND list_has_all(b, {quoted(p['marks'])}) THEN {both} / {len(p['words'])}.0 ELSE 0.0 END)), 0.0)")
+        names.append(p["label"])
     base = ", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{x}' END" for i, x in enumerate(labels))
-    own = ", ".join(f"CASE WHEN s{i} > 0 THEN '{x}' END" for i, (x, _) in enumerate(license_scan.TEMPLATES))
+    own = ", ".join(f"CASE WHEN s{i} > 0 THEN '{x}' END" for i, x in enumerate(names))
     join = lambda xs: f"array_to_string(list_sort(list_distinct(list_filter([{xs}], lambda x: x IS NOT NULL))), ',')"
     return f"""
-WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS low FROM documents),
-w AS (SELECT doc_id, regexp_extract_all(low, '{word}') AS ws,
-             list_transform(string_split(low, chr(10)), lambda x: list_distinct(regexp_extract_all(x, '{word}'))) AS blocks FROM d),
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '{word}') AS ws FROM documents),
 p AS (SELECT doc_id, len(ws) AS n_words, {', '.join(f'{x} AS p{i}' for i, x in enumerate(places))},
              {', '.join(f'{x} AS s{i}' for i, x in enumerate(shares))} FROM w),
 q AS (SELECT *, {' || '.join(f'p{i}' for i in range(len(places)))} AS all_places FROM p)

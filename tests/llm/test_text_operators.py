@@ -290,7 +290,7 @@ def test_quality_odd(spark, odd, none):
 # --- licenses ---
 
 
-def slow_scan(text):
+def slow_scan(text, templates=license_scan.TEMPLATES):
     low = (text or "").translate({c: c + 32 for c in range(65, 91)})
     words = re.findall(license_scan.WORD, low)
     places, base = [], set()
@@ -300,19 +300,49 @@ def slow_scan(text):
         places += at
         base |= {label} if at else set()
     own, score = set(), 0.0
-    for label, template in license_scan.TEMPLATES:
-        t = set(template.split())
-        for line in low.split("\n"):
-            share = len(t & set(re.findall(license_scan.WORD, line))) / len(t)
-            if share >= license_scan.THRESHOLD - 1e-12:
+    for label, template, marks in templates:
+        t, hop = set(template.split()), 1
+        while hop < len(template.split()) / license_scan.THRESHOLD:
+            hop *= 2
+        for k in range(0, len(words), hop):
+            b = set(words[k : k + 2 * hop])
+            share = len(t & b) / len(t)
+            if share >= license_scan.THRESHOLD - 1e-12 and set(marks.split()) <= b:
                 own.add(label)
                 score = max(score, share)
     return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(base | own)), 1.0 if places else score
 
 
+def test_wrapped_notices(spark):
+    texts = [
+        "x\nRedistribution and use in source and binary forms, with or without\n * modification, are permitted provided that",
+        "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy",
+        "This work is licensed under the GNU General Public License, version 3.",
+        "Licensed under CC BY-NC 4.0.",
+        "licensed under the GNU Lesser\nGeneral Public License",
+    ]
+    got = {r.doc_id: r.labels for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(5)] == ["bsd", "mpl", "gpl", "cc-by,cc-by-nc", "gpl,lgpl"]
+
+
+def test_many_templates(spark):
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(3000)]
+    templates = tuple((f"t{i}", " ".join(r.choice(words) for _ in range(r.randint(4, 60))), "") for i in range(500))
+    texts = []
+    for i in range(80):
+        held = r.choice(templates)[1].split()
+        held = [w for w in held if r.random() < 0.9]
+        text = [r.choice(words) for _ in range(r.randint(0, 60))] + held + [r.choice(words) for _ in range(r.randint(0, 60))]
+        texts.append("".join(w + r.choice([" ", "\n", ", "]) for w in text))
+    got = {x.doc_id: tuple(x)[1:] for x in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), templates=templates).collect()}
+    assert all(got[i] == pytest.approx(slow_scan(t, templates)) for i, t in enumerate(texts))
+    assert sum(got[i][5] != "" for i in got) > 40
+
+
 def test_license_scan(spark, odd, none):
     r = random.Random(6)
-    vocabulary = sorted({w for _, t in license_scan.TEMPLATES for w in t.split()})
+    vocabulary = sorted({w for _, t, _ in license_scan.TEMPLATES for w in t.split()})
     texts = ["", None, "CC BY cc-by CC BY", "All Rights\nReserved.", "ALL RIGHTS RESERVED all rights reserved", "K elvin K é general PUBLIC license"]
     for _ in range(150):
         lines = []
