@@ -121,19 +121,24 @@ def test_urls(spark):
     assert [g[4] for g in got] == ["allow", "block", "block", "allow", "block", "allow", "allow", "block", "allow", "allow", "allow", "allow", "allow", "allow"]
 
 
+@pytest.mark.parametrize("literal_bytes", [1 << 20, 0])
 @pytest.mark.parametrize("share", [0, 1, 5, 97, 100])
-def test_cascade_is_exact(spark, share):
+def test_cascade_is_exact(spark, share, literal_bytes):
     rows = [(f"key{i}", hash(("x", i)) % 100 < share) for i in range(3000)]
     universe = spark.createDataFrame(rows, "key string, listed boolean")
-    levels = url_cascade.build_cascade(universe)
-    assert universe.where(url_cascade.is_listed(F.col("key"), levels) != F.col("listed")).count() == 0
+    cascade = url_cascade.build_cascade(universe, literal_bytes=literal_bytes, shard_keys=16)
+    assert (cascade.shards > 1) == (not literal_bytes and share > 0)
+    assert cascade.with_filters(universe, F.col("key")).where(cascade.is_listed(F.col("key")) != F.col("listed")).count() == 0
 
 
-def test_cascade_or_join(spark):
-    pages = spark.createDataFrame([(i, f"http://h{i % 50}.xyz/{i % 7}") for i in range(400)] + [(9, None)], "page_id long, url string")
+def test_cascade_in_shards(spark):
+    """One shard of constants or many of a table: the same rows, also with a key that a third of the rows have and columns of the operator's own names."""
+    rows = [(i, f"http://h{i % 50}.xyz/{i % 7}", "x", 1) for i in range(400)] + [(9, None, None, 2)] + [(1000 + i, "no url", "y", 3) for i in range(200)] + [(8, "http://h3.xyz/" + "3" * 200_000, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, shard int").withColumns({"path": F.lit("p"), "rule": F.lit("r"), "key": F.lit("k"), "verdict": F.lit(1), "w0": F.lit(2)})
     blocked = spark.createDataFrame([("h3.xyz/3",), ("h3.xyz/3",), ("h4.xyz/1",), ("not there",), (None,)], "key string")
-    a, b = (sorted(map(str, url_cascade.judge(pages, blocked, max_bytes=m).collect())) for m in (1 << 20, 0))
+    a, b = (sorted(map(str, url_cascade.judge(pages, blocked, literal_bytes=m, shard_keys=1).collect())) for m in (1 << 20, 0))
     assert a == b
+    assert len(a) == len(rows)
     assert {(r.host, r.path) for r in url_cascade.judge(pages, blocked).where("verdict = 'block'").collect()} == {("h3.xyz", "/3"), ("h4.xyz", "/1")}
     assert url_cascade.judge(pages.where("false"), blocked).count() == 0
 
