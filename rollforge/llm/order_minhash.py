@@ -1,10 +1,13 @@
 """Document fingerprints by order MinHash, with built-in expressions only.
 
 Tokens are runs of up to MAX_TOKEN characters that aren't white space. The k-mers of k tokens are numbered by occurrence, so
-each (k-mer, occurrence) is an item with a hash of its own. Items are dealt to m parts by their hash; each part keeps
-its l smallest items, puts them back in text order, and hashes that tuple. The fingerprint is the m tuple
-hashes. Likeness is the share of parts with equal tuples, among the parts that either text fills. Swapping passages changes the order
-within tuples, so the likeness follows edit distance rather than the set of k-mers.
+each (k-mer, occurrence) is an item with a hash of its own. The range of hashes is cut at m places; from each place on the next l items are
+taken, round the end of the range to its beginning, put back in text order, and that tuple is hashed. The fingerprint is the m tuple
+hashes, likeness the share of equal ones. Every tuple of a text of l items or more holds l of them, however short the text is, so swapping passages
+changes tuples of short texts as it does of long ones, and the likeness follows edit distance rather than the set of k-mers.
+(One order of hashes with m places to begin stands for m orders; neighbouring places of a short text share tuples.)
+
+A text of 2^20 tokens or more tells its k-mers apart by 33 bits of their hash, a shorter one by 44: k-mers that share them share occurrence numbers.
 
 Per document: two sorts of primitive arrays and a few passes, no shuffle, no explode.
 """
@@ -17,7 +20,7 @@ from pyspark.sql import Window as W
 
 from .common import let
 
-K, M_BITS, L = 3, 6, 2
+K, M_BITS, L = 2, 6, 3
 MAX_TOKEN = 8
 
 
@@ -35,7 +38,7 @@ def _low(x: Column, s: Column) -> Column:
 
 
 def signature(text: Column, *, k: int = K, m_bits: int = M_BITS, l: int = L) -> Column:  # noqa: E741
-    """array<struct<part, tuple>> of the filled parts, in the order of parts; no entry for a text without tokens."""
+    """array<int> of 2 ** m_bits tuple hashes; null for a text without tokens."""
     tokens = F.transform(F.regexp_extract_all(text, F.lit(rf"\S{{1,{MAX_TOKEN}}}"), F.lit(0)), lambda t: F.xxhash64(t))
 
     def of_tokens(t: Column) -> Column:
@@ -64,48 +67,52 @@ def signature(text: Column, *, k: int = K, m_bits: int = M_BITS, l: int = L) ->
     def of_items(x: Column, s: Column) -> Column:
         return let(F.sort_array(x), lambda v: chosen(v, s))
 
-    part = lambda x: F.shiftrightunsigned(x, 64 - m_bits).cast("int")
+    half = 1 << (m_bits - 1)
+    part = lambda x: F.shiftright(x, 64 - m_bits).cast("int") + half  # noqa: E731  in the order of signed hashes
 
     def chosen(v: Column, s: Column) -> Column:
+        """Of each part its first l items: no tuple needs others."""
         kept = F.filter(v, lambda x, i: (i < l) | (part(x) != part(F.get(v, F.greatest(i - l, F.lit(0))))))
-        return let(kept, lambda c: F.transform(firsts(c), lambda at: tuple_of(c, at, s)))
+        return let(kept, lambda c: let(F.concat(c, F.slice(c, F.lit(1), F.least(F.lit(l), F.size(c)))), lambda round_: let(firsts(c), lambda at: spread(c, round_, at, s))))
 
     def firsts(c: Column) -> Column:
+        """Where the items of each filled part begin."""
         return F.filter(F.sequence(F.lit(0), F.size(c) - 1), lambda i: (i == 0) | (part(F.get(c, i)) != part(F.get(c, F.greatest(i - 1, F.lit(0))))))
 
-    def tuple_of(c: Column, at: Column, s: Column) -> Column:
-        own = F.filter(F.slice(c, at + 1, F.lit(l)), lambda x: part(x) == part(F.get(c, at)))
-        # Text order: by place; the item's hash without its place is what is hashed.
-        in_order = F.array_sort(F.transform(own, lambda x: F.struct(_low(x, s).alias("place"), F.shiftright(x, 31).alias("item"))))
-        return F.struct(part(F.get(c, at)).alias("part"), F.xxhash64(F.transform(in_order, lambda y: y["item"])).alias("tuple"))
+    def spread(c: Column, round_: Column, at: Column, s: Column) -> Column:
+        """A part's tuple also stands for the empty parts before it, the first one's for those behind the last."""
+        tuples = F.transform(at, lambda i: tuple_of(c, round_, i, s))
 
-    return let(tokens, of_tokens)
+        def of(t: Column) -> Column:
+            gap = lambda j: part(F.get(c, F.get(at, j))) - F.when(j == 0, F.lit(-1)).otherwise(part(F.get(c, F.get(at, F.greatest(j - 1, F.lit(0))))))
+            own = F.flatten(F.transform(t, lambda x, j: F.array_repeat(x, gap(j))))
+            return F.concat(own, F.array_repeat(F.get(t, F.lit(0)), F.lit((1 << m_bits) - 1) - part(F.element_at(c, -1))))
 
+        return let(tuples, of)
 
-def places(sig: Column, m_bits: int = M_BITS) -> Column:
-    """The signature as 2 ** m_bits ints, null for an empty part."""
-    held = F.map_from_arrays(F.transform(sig, lambda x: x["part"]), F.transform(sig, lambda x: F.shiftright(x["tuple"], 32).cast("int")))
-    return F.when(sig.isNotNull(), let(held, lambda m: F.transform(F.sequence(F.lit(0), F.lit((1 << m_bits) - 1)), lambda i: F.try_element_at(m, i)))).otherwise(
-        F.array_repeat(F.lit(None).cast("int"), 1 << m_bits)
-    )
+    def tuple_of(c: Column, round_: Column, i: Column, s: Column) -> Column:
+        own = F.slice(round_, i + 1, F.least(F.lit(l), F.size(c)))
+        # Text order: by place; the item's hash without its place is what is hashed.
+        in_order = F.sort_array(F.transform(own, lambda x: F.struct(_low(x, s).alias("place"), F.shiftright(x, 31).alias("item"))))
+        return F.shiftright(F.xxhash64(F.transform(in_order, lambda y: y["item"])), 32).cast("int")
+
+    return let(tokens, of_tokens)
 
 
 def fingerprint(text: Column, **settings) -> Column:
-    """array<int> of 2 ** m_bits tuple hashes, null for parts without items; null text counts as empty."""
-    m_bits = settings.get("m_bits", M_BITS)
-    return let(signature(F.coalesce(text, F.lit("")), **settings), lambda sig: places(sig, m_bits))
+    """array<int> of 2 ** m_bits tuple hashes, all null for a text without tokens; null text counts as empty."""
+    empty = F.array_repeat(F.lit(None).cast("int"), 1 << settings.get("m_bits", M_BITS))
+    return F.coalesce(signature(F.coalesce(text, F.lit("")), **settings), empty)
 
 
 def as_string(sig: Column) -> Column:
-    """8 hex digits for each part, - for an empty one."""
+    """8 hex digits for each tuple, - for a null."""
     return F.array_join(F.transform(sig, lambda x: F.coalesce(F.lpad(F.lower(F.hex(x.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0"), F.lit("-"))), ".")
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Equal parts among those that either fills; 1 for two texts without tokens."""
-    equal = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda z: z))
-    filled = F.size(F.filter(F.zip_with(a, b, lambda x, y: x.isNotNull() | y.isNotNull()), lambda z: z))
-    return F.when(filled == 0, F.lit(1.0)).otherwise(equal / filled)
+    """The share of equal tuples; 1 for two texts without tokens, 0 where one has none."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(0), lambda n, same: n + same.cast("int")) / F.size(a)
 
 
 def with_next(docs: DataFrame, columns: list[str], *, key: str = "doc_id", parts: int | None = None) -> DataFrame:
