@@ -22,6 +22,8 @@ from .common import hold, slices
 BITS = 18
 #: A classifier is fitted on at most so many labelled documents: those with the smallest hashes of their ids.
 MAX_TRAIN = 12_000
+#: Their sparse vectors may hold so many entries together (8 bytes each); the documents that would pass it, in the order of the hashes, are left out.
+MAX_ENTRIES = 1 << 25
 SCALE = 8.0  # a vector's entries sum to this for each kind of feature
 CUT = 0.3  # of the score; at or above it a document is kept
 TOKEN = re.compile(r"\w+|[^\w\s]+")
@@ -79,17 +81,19 @@ def logistic(z: float) -> float:
     return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def fit(rows: list[tuple[str | None, int]], *, epochs: int = 4, alpha: float = 0.3, beta: float = 1.0, l1: float = 1e-5, l2: float = 1e-5) -> np.ndarray:
-    """Weights (2 ** BITS and a bias) after FTRL-proximal updates over rows (text, label), in the order given."""
+def vector(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Places (int32, ascending) and values (float32) of a text's sparse vector; the last entry is the bias."""
+    places, counts = np.unique(features(text), return_counts=True)
+    total = max(1, counts.sum())
+    return np.append(places, 1 << BITS).astype(np.int32), np.append(counts * (4 * SCALE / total), 1.0).astype(np.float32)
+
+
+def fit(vectors: list[tuple[np.ndarray, np.ndarray, float]], *, epochs: int = 4, alpha: float = 0.3, beta: float = 1.0, l1: float = 1e-5, l2: float = 1e-5) -> np.ndarray:
+    """Weights (2 ** BITS and a bias) after FTRL-proximal updates over vectors (places, values, label), in the order given."""
     n = (1 << BITS) + 1
     z, g2, weights = np.zeros(n), np.zeros(n), np.zeros(n)
-    held = []
-    for text, label in rows:
-        places, counts = np.unique(features(text), return_counts=True)
-        total = max(1, counts.sum())
-        held.append((np.append(places, n - 1).astype(np.int32), np.append(counts * (4 * SCALE / total), 1.0).astype(np.float32), float(label)))
     for _ in range(epochs):
-        for places, x, y in held:
+        for places, x, y in vectors:
             w = weights[places]
             g = (logistic(float(w @ x)) - y) * x
             sigma = (np.sqrt(g2[places] + g * g) - np.sqrt(g2[places])) / alpha
@@ -105,9 +109,10 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, **settings) -> np.ndarray:
+def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, max_entries: int = MAX_ENTRIES, **settings) -> np.ndarray:
     """Weights from docs (doc_id, text) and labels (doc_id, quality), held-out rows apart.
 
+    Sparse vectors are made in parallel; one task gets at most max_train of them and max_entries entries, and makes the updates, which follow each other.
     A document labelled twice gets the majority (ties: 1); null labels don't count. Without any labelled document all weights are 0."""
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("quality"))
@@ -115,15 +120,28 @@ def train(docs: DataFrame, labels: DataFrame, *, max_train: int = MAX_TRAIN, **s
     known = known.select("doc_id", "quality", order.alias("at")).orderBy("at", "doc_id").limit(max_train)
     sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # known: max_train rows at most
 
-    def run(batches):
+    def vectors(batches):
         hold("features", _HASHES.clear)
-        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("at", "doc_id", "text", "quality")), strict=True)]
-        rows.sort(key=lambda r: (r[0], r[1], r[2] or ""))
-        weights = fit([(r[2], r[3]) for r in rows[:max_train]], **settings)
-        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary())], names=["weights"])
+        for batch in slices(batches):
+            held = [vector(t) for t in batch.column("text").to_pylist()]
+            ends = pa.array(np.cumsum([0, *(len(p) for p, _ in held)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.empty(0, k), *(h[i] for h in held)]))) for i, k in ((0, np.int32), (1, np.float32))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("at", "doc_id", "tie", "quality")), *lists], names=["at", "doc_id", "tie", "quality", "places", "counts"])
+
+    def run(batches):
+        rows, entries = [], 0
+        for batch in batches:
+            for i in range(batch.num_rows):
+                places, values = (batch.column(c)[i].values.to_numpy().copy() for c in ("places", "counts"))
+                entries += len(places)
+                if len(rows) < max_train and entries <= max_entries:
+                    rows.append((places, values, float(batch.column("quality")[i].as_py())))
+        yield pa.RecordBatch.from_arrays([pa.array([fit(rows, **settings).tobytes()], pa.binary())], names=["weights"])
 
     ship(docs.sparkSession)
-    got = sample.select("at", "doc_id", "text", "quality").repartition(1).mapInArrow(run, "weights binary").collect()
+    sample = sample.select("at", F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("tie"), "quality", "text")
+    made = sample.mapInArrow(vectors, "at bigint, doc_id bigint, tie bigint, quality int, places array<int>, counts array<float>")
+    got = made.repartition(1).sortWithinPartitions("at", "doc_id", "tie").mapInArrow(run, "weights binary").collect()
     return np.frombuffer(bytes(got[0].weights), np.float32) if got else np.zeros((1 << BITS) + 1, np.float32)
 
 
@@ -146,7 +164,8 @@ def score(docs: DataFrame, weights: np.ndarray, *, cut: float = CUT) -> DataFram
 
 
 def keep(docs: DataFrame, weights: np.ndarray, *, cut: float = CUT) -> DataFrame:
-    """The rows of docs whose score is at least cut, with their columns as they are."""
+    """The rows of docs whose score is at least cut, with their columns as they are, whatever their names. Null and empty texts get the bias's score; repeated rows
+    are judged alike; an empty table stays empty."""
     ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(weights)
 

@@ -265,6 +265,56 @@ def test_quality_held_out_accuracy(spark):
     assert all(r.predicted == int(r.score >= 0.3) for r in got)
 
 
+def slow_ftrl(rows, epochs=4, alpha=0.3, beta=1.0, l1=1e-5, l2=1e-5):
+    """FTRL-proximal as published, a coordinate at a time, over rows ({place: value}, label)."""
+    import math
+
+    z, n = {}, {}
+
+    def weight(i):
+        s = z.get(i, 0.0)
+        return 0.0 if abs(s) <= l1 else -(s - math.copysign(l1, s)) / ((beta + math.sqrt(n.get(i, 0.0))) / alpha + l2)
+
+    for _ in range(epochs):
+        for x, y in rows:
+            w = {i: weight(i) for i in x}
+            p = 1 / (1 + math.exp(-sum(w[i] * v for i, v in x.items())))
+            for i, v in x.items():
+                g = (p - y) * v
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z}
+
+
+def test_quality_is_plain_ftrl(spark):
+    """Weights and scores of the query's path against the plain algorithm on plain features."""
+    rows = made(120, 3)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(5)
+    got = quality_ftrl.train(docs, spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int"))
+    seed = spark.createDataFrame([(r[0],) for r in rows], "doc_id long").selectExpr("doc_id", "xxhash64(8, doc_id) h").collect()
+    order = [r.doc_id for r in sorted(seed, key=lambda r: r.h) if zlib.crc32(str(r.doc_id).encode()) % 5]
+    plain = {}
+    for i, text, label in rows:
+        held = quality_ftrl.features(text).tolist()
+        x = {p: held.count(p) * 4 * quality_ftrl.SCALE / len(held) for p in set(held)}
+        plain[i] = ({**x, 1 << quality_ftrl.BITS: 1.0}, label)
+    want = slow_ftrl([plain[i] for i in order])
+    assert set(np.flatnonzero(got).tolist()) <= set(want)
+    assert max(abs(got[p] - w) for p, w in want.items()) < 1e-4
+    scores = {r.doc_id: r.score for r in quality_ftrl.score(docs, got).collect()}
+    for i, (x, _) in plain.items():
+        assert scores[i] == pytest.approx(1 / (1 + np.exp(-sum(want.get(p, 0.0) * v for p, v in x.items()))), abs=1e-3)
+
+
+def test_quality_bound_on_entries(spark):
+    rows = made(60, 4)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, quality int")
+    assert not quality_ftrl.train(docs, labels, max_entries=0).any()
+    assert quality_ftrl.train(docs, labels, max_entries=2000).any()
+
+
 def test_quality_learns_no_held_out_label(spark):
     rows = made(60, 2)
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
