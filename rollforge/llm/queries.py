@@ -27,7 +27,7 @@ r AS (SELECT s, n, sqrt(n) / (sum(sqrt(n)) OVER ()) * (sum(n) OVER ()) / n AS ra
 k AS (SELECT s, rate, unnest(generate_series(0, CAST(ceil(rate + 12 * sqrt(rate) + 30) AS INTEGER))) AS k FROM r),
 f AS (SELECT s, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY s ORDER BY k) AS f FROM k),
 cdf AS (SELECT s, list(f ORDER BY k) AS cdf FROM f GROUP BY s),
-u AS (SELECT d.*, cdf.cdf, coalesce(CAST(doc_id AS VARCHAR), 'null') AS key FROM documents d JOIN cdf ON coalesce(d.source, '') = cdf.s),
+u AS (SELECT d.*, cdf.cdf, coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) AS key FROM documents d JOIN cdf ON coalesce(d.source, '') = cdf.s),
 v AS (SELECT *, CAST('0x' || substr(md5('17:0:' || key), 1, 13) AS BIGINT) / 4503599627370496.0 AS u FROM u),
 n AS (SELECT *, CAST(len(list_filter(cdf, lambda x: x <= u)) AS INTEGER) AS n_copies FROM v),
 e AS (SELECT *, unnest(generate_series(1, n_copies)) AS copy FROM n WHERE n_copies > 0)

@@ -442,6 +442,7 @@ def test_poisson_inverse_is_exact(spark):
             total += math.exp(k * math.log(part) - part - math.lgamma(k + 1)) if part else float(k == 0)
             assert f == pytest.approx(total, abs=1e-11)
         assert r.cdf[-1] == pytest.approx(1, abs=1e-11)
+        assert len(r.cdf) <= 40 + part + 10 * math.sqrt(part)
     docs = spark.createDataFrame([(i, "x") for i in range(20)], "doc_id long, source string")
     assert poisson_mix.mix(docs, total=20 * 1500, shuffle=False).count() == pytest.approx(30_000, rel=0.03)
 
@@ -451,6 +452,8 @@ def test_mix_odd(spark, odd, none):
     assert set(out.columns) == {*odd.columns, "copy", "n_copies", "shuffle_key"}
     a = sorted(map(str, out.collect()))
     assert a == sorted(map(str, poisson_mix.mix(odd.repartition(5)).collect()))
+    nameless = {r.text: r.shuffle_key for r in out.where("doc_id is null and copy = 1").collect()}
+    assert len(set(nameless.values())) == len(nameless)
     assert poisson_mix.mix(none).count() == 0
     assert poisson_mix.mix(odd, weights={"zzz": 1.0}).count() == 0
 
@@ -458,5 +461,5 @@ def test_mix_odd(spark, odd, none):
 def test_mix_by_salted_join(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"s{i % 7}") for i in range(500)], "doc_id long, source string")
     want = sorted(map(str, poisson_mix.mix(docs).collect()))
-    monkeypatch.setattr(poisson_mix, "MAX_BROADCAST_SOURCES", 0)
+    monkeypatch.setattr(poisson_mix, "MAX_BROADCAST_BYTES", 0)
     assert sorted(map(str, poisson_mix.mix(docs).collect())) == want
