@@ -27,6 +27,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..shipping import ship
 from .common import hold, slices
@@ -90,7 +91,7 @@ class Model:
         self.floor = float(self.logp.min())
         self.weight = np.exp(self.logp)
         self.ids = {self.pieces[i]: i for i in normal}
-        self.longest = min(32, max(map(len, self.ids)))
+        self.longest = max(map(len, self.ids))
         # Hash table of the pieces: sorted hashes of lengths 1 to `longest`, and a small filter before it.
         self.base = np.uint64(0xD1B54A32D192ED03)
         held = [(self.hash_of(p), i) for p, i in self.ids.items() if len(p) <= self.longest]
@@ -529,6 +530,39 @@ def sample(docs: DataFrame, *, k: int = 2, seed: int = 11, model: str = MODEL) -
     return docs.selectExpr("cast(doc_id as bigint) doc_id", "text").mapInArrow(run, SCHEMA)
 
 
+def encode(docs: DataFrame, *, into: str = "ids", model: str = MODEL) -> DataFrame:
+    """docs with a column of the ids of the model's own segmentation of text. Null texts have null, empty ones no ids; all rows and other columns stay (one named `into` is replaced)."""
+    return _mapped(docs, "text", into, "array<int>", model, lambda m, texts: [None if t is None else m.encode(t) for t in texts])
+
+
+def decode(df: DataFrame, *, ids: str = "ids", into: str = "text", model: str = MODEL) -> DataFrame:
+    """df with a column of the text that each row's ids stand for. Null ids, and ids that the model hasn't, give null; all rows and other columns stay (one named `into` is replaced)."""
+
+    def texts(m: Model, rows):
+        n = len(m.pieces)
+        return [None if x is None or any(i is None or not 0 <= i < n for i in x) else m.decode(x) for x in rows]
+
+    return _mapped(df, ids, into, "string", model, texts)
+
+
+def _mapped(df: DataFrame, source: str, into: str, kind: str, model: str, convert) -> DataFrame:
+    ship(df.sparkSession)
+    with open(model, "rb") as f:
+        held = df.sparkSession.sparkContext.broadcast(f.read())
+    out = df.withColumn(into, F.lit(None).cast(kind)) if into != source else df
+    at, names, schema = df.columns.index(source), out.columns, out.schema
+
+    def run(batches):
+        hold("lattices", _LOADED.clear)
+        m = load(held.value).model
+        for batch in slices(batches):
+            columns = list(batch.columns)
+            columns[names.index(into)] = pa.array(convert(m, batch.column(at).to_pylist()), pa.list_(pa.int32()) if kind == "array<int>" else pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return out.mapInArrow(run, schema)
+
+
 def _batch(lattices: Lattices, doc_ids, texts, k, seed) -> pa.RecordBatch:
     got = sample_batch(lattices, texts, [row_key(seed, d) for d in doc_ids], k)
     lattices.settle()

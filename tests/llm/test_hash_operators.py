@@ -254,6 +254,20 @@ def test_decode_is_the_models(lattices):
         assert model.decode(ids) == t == model.processor.decode(ids)
 
 
+def test_decode_tables(odd, none):
+    got = lattice_sampling.decode(lattice_sampling.sample(odd, k=2), into="back").collect()
+    texts = collections.defaultdict(set)
+    for r in odd.collect():
+        texts[r.doc_id].add(r.text or "")
+    assert all(r.back in texts[r.doc_id] for r in got)
+    both = lattice_sampling.decode(lattice_sampling.encode(odd), into="key")
+    assert sorted((r.text is None, r.text or "") for r in both.collect()) == sorted((r.key is None, r.key or "") for r in both.collect())
+    assert set(both.columns) == {*odd.columns, "ids"}
+    bad = odd.sparkSession.createDataFrame([([5, -1],), ([10**8],), ([None],), (None,), ([],)], "ids array<int>")
+    assert [r.text for r in lattice_sampling.decode(bad).collect()] == [None, None, None, None, ""]
+    assert lattice_sampling.decode(lattice_sampling.encode(none)).count() == 0
+
+
 def test_segmentations_odd(odd, none):
     got = lattice_sampling.sample(odd, k=2).collect()
     assert all(r.round_trip for r in got)
