@@ -309,6 +309,32 @@ def test_neighbours_recall(spark, scale):
     assert hit / total >= 0.9
 
 
+def test_cells_within_leave_none_out():
+    x = vectors(2000, 8, 5, True)
+    cells = prefix_forest.cells_of(x, 5)
+    for q in range(0, 2000, 100):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        for r in (0.3, 0.8, 2.0, np.inf):
+            reached = set(prefix_forest.cells_within(x[q], 5, r).tolist()) | {int(cells[q])}
+            assert set(cells[d <= r].tolist()) <= reached
+    assert len(prefix_forest.cells_within(x[0], 5, 0.0)) == 0
+
+
+def test_clusters_visit_few_cells(spark):
+    """Clustered vectors: recall over many cells, one of them far too large for a shard."""
+    r = np.random.RandomState(3)
+    centres = vectors(30, 16, 9) * 4
+    x = np.concatenate([centres[r.randint(0, 30, 2000)] + 0.05 * r.standard_normal((2000, 16)), centres[0] + 0.01 * r.standard_normal((1000, 16))])
+    got = prefix_forest.search(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), shard=200).collect()
+    hit = 0
+    for q in range(0, 3000, 100):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        hit += len({g.vec_id for g in got if g.query_id == q} & set(np.argsort(d)[:10].tolist()))
+    assert len(got) == 300
+    assert hit / 300 >= 0.9
+
+
 def test_neighbours_odd(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 0.0], "a"), (100, [0.0, 1.0], "a"), (200, [0.0, 0.0], "a"), (300, None, None), (400, [nan, 1.0], "b"), (500, [inf, 0.0], "b"), (600, [None, 1.0], "b"), (700, [1.0], "b"), (1, [1.0, 0.0], "b"), (1, [1.0, 0.0], "b"), (None, [1.0, 1.0], "c"), (800, [], "c")]
