@@ -21,36 +21,87 @@ def whole(c: Column) -> Column:
     return F.when(c < 0, F.ceil(c)).otherwise(F.floor(c)).cast("bigint")
 
 
-def _rectangle(x1, y1, x2, y2) -> Column:
-    return F.struct(*[F.lit(v).cast("bigint").alias(n) if isinstance(v, int) else v.cast("bigint").alias(n) for n, v in (("x1", x1), ("y1", y1), ("x2", x2), ("y2", y2))])
+class Numbers:
+    """What the positions are made of, on plain numbers; Columns is the same on columns."""
+
+    whole, least, greatest = staticmethod(int), staticmethod(min), staticmethod(max)
+
+
+class Columns:
+    whole = staticmethod(whole)
+
+    @staticmethod
+    def least(*xs):
+        return F.least(*[F.lit(x) for x in xs])
+
+    @staticmethod
+    def greatest(*xs):
+        return F.greatest(*[F.lit(x) for x in xs])
+
+
+def margins(w, h, o):
+    """Left and upper edge of the grid, width and height of a box, not rounded."""
+    left, top = o.whole(w * LEFT_MARGIN), o.whole(h * TOP_MARGIN)
+    return left, top, (w - left - o.whole(w * RIGHT_MARGIN)) / float(COLS), (h - top - o.whole(h * BOTTOM_MARGIN)) / float(ROWS)
+
+
+def box_edges(left, top, box_w, box_h, row, col, o):
+    x, y = o.whole(left + col * box_w), o.whole(top + row * box_h)
+    return x, y, o.whole(x + box_w), o.whole(y + box_h)
+
+
+def photo_edges(w, h, o):
+    pad_x, pad_y = o.whole(w * PHOTO_PAD), o.whole(h * PHOTO_PAD)
+    return o.greatest(0, o.whole(w * (1 - PHOTO_WIDTH)) - pad_x), o.greatest(0, o.whole(h * PHOTO_TOP) - pad_y), o.least(w, w + pad_x), o.least(h, h + pad_y)
+
+
+def id_edges(w, h, o):
+    return o.whole(w * ID_LEFT), ID_TOP_PX, w, o.whole(h * ID_BOTTOM)
+
+
+def id_column_edges(w, h, o):
+    """What id OCR reads: the right part at its full height."""
+    return o.whole(w * ID_LEFT), 0, w, h
+
+
+def paste_place(w, h, o):
+    """Where the id region goes, with what is visible of its height."""
+    y = o.whole(h * (1 - EMPTY_BOTTOM)) + PASTE_PAD
+    return PASTE_PAD, y, o.least(o.whole(h * ID_BOTTOM) - ID_TOP_PX, h - y)
+
+
+def header_edges(w, h, o):
+    return 0, 0, w, o.whole(h * HEADER_HEIGHT)
+
+
+def _rectangle(edges) -> Column:
+    return F.struct(*[F.lit(v).cast("bigint").alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), edges)])
 
 
 def boxes(pages: DataFrame, width: str = "width", height: str = "height") -> DataFrame:
     """pages with a row for each of the 30 boxes: box_no (from 1, by rows), x1, y1, x2, y2."""
-    w, h = F.col(width), F.col(height)
-    left, top = whole(w * LEFT_MARGIN), whole(h * TOP_MARGIN)
-    box_w = (w - left - whole(w * RIGHT_MARGIN)) / F.lit(float(COLS))
-    box_h = (h - top - whole(h * BOTTOM_MARGIN)) / F.lit(float(ROWS))
-    rows = pages.select("*", left.alias("__l"), top.alias("__t"), box_w.alias("__w"), box_h.alias("__h"), F.explode(F.sequence(F.lit(0), F.lit(ROWS * COLS - 1))).alias("__i"))
-    x1 = whole(F.col("__l") + F.col("__i") % COLS * F.col("__w"))
-    y1 = whole(F.col("__t") + F.floor(F.col("__i") / COLS) * F.col("__h"))
-    return rows.select(*pages.columns, (F.col("__i") + 1).cast("bigint").alias("box_no"), x1.alias("x1"), y1.alias("y1"), whole(x1 + F.col("__w")).alias("x2"), whole(y1 + F.col("__h")).alias("y2"))
+    grid = [c.alias(n) for n, c in zip(("__l", "__t", "__w", "__h"), margins(F.col(width), F.col(height), Columns))]
+    rows = pages.select("*", *grid, F.explode(F.sequence(F.lit(0), F.lit(ROWS * COLS - 1))).alias("__i"))
+    row, col = F.floor(F.col("__i") / COLS), F.col("__i") % COLS
+    edges = box_edges(F.col("__l"), F.col("__t"), F.col("__w"), F.col("__h"), row, col, Columns)
+    return rows.select(*pages.columns, (F.col("__i") + 1).cast("bigint").alias("box_no"), *[c.alias(n) for n, c in zip(("x1", "y1", "x2", "y2"), edges)])
 
 
 def photo_mask(w: Column, h: Column) -> Column:
-    pad_x, pad_y = whole(w * PHOTO_PAD), whole(h * PHOTO_PAD)
-    return _rectangle(F.greatest(F.lit(0), whole(w * (1 - PHOTO_WIDTH)) - pad_x), F.greatest(F.lit(0), whole(h * PHOTO_TOP) - pad_y), F.least(w, w + pad_x), F.least(h, h + pad_y))
+    return _rectangle(photo_edges(w, h, Columns))
 
 
 def id_region(w: Column, h: Column) -> Column:
-    return _rectangle(whole(w * ID_LEFT), ID_TOP_PX, w, whole(h * ID_BOTTOM))
+    return _rectangle(id_edges(w, h, Columns))
+
+
+def id_column(w: Column, h: Column) -> Column:
+    return _rectangle(id_column_edges(w, h, Columns))
 
 
 def id_paste(w: Column, h: Column) -> Column:
     """Where the id region goes, with what is visible of its height."""
-    y = whole(h * (1 - EMPTY_BOTTOM)) + PASTE_PAD
-    tall = whole(h * ID_BOTTOM) - ID_TOP_PX
-    return F.struct(F.lit(PASTE_PAD).cast("bigint").alias("x"), y.alias("y"), F.least(tall, h - y).alias("visible"))
+    return F.struct(*[F.lit(v).cast("bigint").alias(n) for n, v in zip(("x", "y", "visible"), paste_place(w, h, Columns))])
 
 
 def marker_place(w: Column, h: Column, marker_w: Column, marker_h: Column, *, left: int = MARKER_LEFT) -> Column:
@@ -62,7 +113,7 @@ def marker_place(w: Column, h: Column, marker_w: Column, marker_h: Column, *, le
 
 
 def header_area(w: Column, h: Column) -> Column:
-    return _rectangle(0, 0, w, whole(h * HEADER_HEIGHT))
+    return _rectangle(header_edges(w, h, Columns))
 
 
 def stack_offsets(heights: Column) -> Column:

@@ -15,11 +15,11 @@ def normalize_rows(df: DataFrame) -> DataFrame:
 
 
 def record_diff(actual: DataFrame, expected: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, field, actual, expected of each cell that differs, as strings; a row that one side lacks differs in each field that isn't null."""
-    fields = [c for c in expected.columns if c not in keys]
-    cell = lambda c, side: F.col(f"{side}.{c}").cast("string")
+    """keys, field, actual, expected of each cell that differs, as strings; a row or a column that one side lacks differs in each cell that isn't null on the other."""
+    fields = [*expected.columns, *(c for c in actual.columns if c not in expected.columns)]
+    cell = lambda c, side, has: F.col(f"{side}.{c}").cast("string") if c in has.columns else F.lit(None).cast("string")
     joined = actual.alias("a").join(expected.alias("e"), keys, "full")
-    cells = F.array(*[F.struct(F.lit(c).alias("field"), cell(c, "a").alias("actual"), cell(c, "e").alias("expected")) for c in fields])
+    cells = F.array(*[F.struct(F.lit(c).alias("field"), cell(c, "a", actual).alias("actual"), cell(c, "e", expected).alias("expected")) for c in fields if c not in keys])
     differing = F.filter(cells, lambda x: ~x["actual"].eqNullSafe(x["expected"]))
     return joined.select(*keys, F.inline(differing))
 

@@ -11,8 +11,8 @@ from .blocks import split_blocks
 from .people import PERSON, parse_blocks
 
 PAGE_KEYS = ("source_image", "doc_id", "assembly", "part_no", "street", "page_no")
+#: A CSV file's columns in their order, and those that it leaves out.
 CSV_COLUMNS = ("serial_no", "epic_id", "name", "father_name", "mother_name", "husband_name", "other_name", "age", "gender", "house_no", "street", "part_no", "assembly")
-#: Columns that a CSV file leaves out.
 DROPPED = ("source_image", "ocr_text", "doc_id", "page_no", "voter_no")
 
 
@@ -39,19 +39,14 @@ def parse_pages(pages: DataFrame, *, page_limit: int | None = None, block_limit:
 
 
 def parse_and_number(pages: DataFrame, *, block_limit: int | None = None) -> DataFrame:
-    """parse_pages with serial_no, which counts a document's records from 1 by page_no, source_image and block_pos.
+    """parse_pages with serial_no, which counts a document's records from 1 by page_no, source_image and block_pos (pages that share both: by their text).
 
-    A page's records follow the records of the pages before it, so only pages are ordered: the window carries their block counts, and
-    the records themselves are never shuffled."""
+    A page's records follow the records of the pages before it, so a window over pages carries their numbers of blocks: each page moves once, in one piece, to
+    its document's task, and is read once, so pages may come straight from a provider that never gives the same text twice. Records aren't moved."""
     held = _with_blocks(pages, block_limit)
-    counts = held.select("doc_id", "page_no", "source_image", F.size("__blocks").alias("n"), F.xxhash64("ocr_text").alias("__text"))
-    order = W.partitionBy("doc_id").orderBy("page_no", "source_image", "__text").rowsBetween(W.unboundedPreceding, -1)
-    tie = W.partitionBy("doc_id", "page_no", "source_image", "__text").orderBy("n")
-    before = counts.select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "page_no", "source_image")], F.col("__text").alias("__t"), F.row_number().over(tie).alias("__copy"), F.coalesce(F.sum("n").over(order), F.lit(0)).alias("__before"))
-    pages = pages.withColumn("__t2", F.xxhash64("ocr_text"))
-    pages = pages.withColumn("__c2", F.row_number().over(W.partitionBy("doc_id", "page_no", "source_image", "__t2").orderBy("ocr_text")))
-    joined = pages.join(before, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("page_no").eqNullSafe(F.col("__page_no")) & F.col("source_image").eqNullSafe(F.col("__source_image")) & (F.col("__t2") == F.col("__t")) & (F.col("__c2") == F.col("__copy")))
-    held = _with_blocks(joined, block_limit).select(*PAGE_KEYS, "__before", F.posexplode("__blocks").alias("block_pos", "block"))
+    order = W.partitionBy("doc_id").orderBy("page_no", "source_image", "__blocks").rowsBetween(W.unboundedPreceding, -1)
+    held = held.select(*PAGE_KEYS, "__blocks").withColumn("__before", F.coalesce(F.sum(F.size("__blocks")).over(order), F.lit(0)))
+    held = held.select(*PAGE_KEYS, "__before", F.posexplode("__blocks").alias("block_pos", "block"))
     held = held.withColumns({"block_pos": F.col("block_pos").cast("bigint"), "serial_no": (F.col("__before") + F.col("block_pos") + 1).cast("bigint")})
     return parse_blocks(held, tamil=is_tamil(F.col("source_image"))).select(*PERSON, *PAGE_KEYS, "block_pos", "serial_no")
 

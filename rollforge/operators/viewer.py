@@ -36,16 +36,20 @@ def suspicious_summary(df: DataFrame, suspicious: str, family: str) -> DataFrame
     return df.agg(F.count_if(is_true(F.col(suspicious))).alias("suspicious"), F.count_distinct(family).alias("families"))
 
 
-def is_missing(column: Column) -> Column:
+def is_missing(column: Column, kind: str = "string") -> Column:
+    """Whether a cell is null, empty or the text `null`, or NaN in a column of a floating kind."""
+    if kind in ("double", "float"):
+        return column.isNull() | F.isnan(column)
     text = column.cast("string")
-    return text.isNull() | text.isin("", "null", "NaN")
+    return text.isNull() | text.isin("", "null")
 
 
 def missing_cells(df: DataFrame) -> DataFrame:
-    """field, n_missing: how many cells of each column are null, empty or `null`, in one pass."""
-    counts = df.agg(*[F.count_if(is_missing(F.col(c))).alias(c) for c in df.columns])
+    """field, n_missing: how many cells of each column are missing, in one pass."""
+    counts = df.agg(*[F.count_if(is_missing(F.col(c), kind)).alias(c) for c, kind in df.dtypes])
     return counts.unpivot([], df.columns, "field", "n_missing")
 
 
 def whole_age(column: Column) -> Column:
-    return F.round(column.try_cast("double")).cast("bigint")
+    """The nearest whole number, halves to the even one; null for what is no number."""
+    return F.bround(column.try_cast("double")).cast("bigint")

@@ -14,11 +14,17 @@ WHITE = 255
 
 def box_edges(width: int, height: int) -> list[tuple[int, int, int, int]]:
     """(left, upper, right, lower) of the 30 boxes, by rows."""
-    x0, y0 = int(width * g.LEFT_MARGIN), int(height * g.TOP_MARGIN)
-    box_w = (width - x0 - int(width * g.RIGHT_MARGIN)) / g.COLS
-    box_h = (height - y0 - int(height * g.BOTTOM_MARGIN)) / g.ROWS
-    corners = [(int(x0 + c * box_w), int(y0 + r * box_h)) for r in range(g.ROWS) for c in range(g.COLS)]
-    return [(x, y, int(x + box_w), int(y + box_h)) for x, y in corners]
+    grid = g.margins(width, height, g.Numbers)
+    return [g.box_edges(*grid, i // g.COLS, i % g.COLS, g.Numbers) for i in range(g.ROWS * g.COLS)]
+
+
+def _part(image: np.ndarray, edges: tuple[int, int, int, int]) -> np.ndarray:
+    x1, y1, x2, y2 = edges
+    return image[y1:y2, x1:x2]
+
+
+def _size(image: np.ndarray) -> tuple[int, int]:
+    return image.shape[1], image.shape[0]
 
 
 def _fill(image: np.ndarray, x1: int, y1: int, x2: int, y2: int) -> None:
@@ -33,23 +39,25 @@ def _paste(image: np.ndarray, part: np.ndarray, x: int, y: int) -> None:
 
 
 def mask_photo(crop: np.ndarray) -> np.ndarray:
-    out, (h, w) = crop.copy(), crop.shape[:2]
-    pad_x, pad_y = int(w * g.PHOTO_PAD), int(h * g.PHOTO_PAD)
-    _fill(out, max(0, int(w * (1 - g.PHOTO_WIDTH)) - pad_x), max(0, int(h * g.PHOTO_TOP) - pad_y), w, h)
+    out = crop.copy()
+    _fill(out, *g.photo_edges(*_size(crop), g.Numbers))
     return out
 
 
 def id_region(crop: np.ndarray) -> np.ndarray:
-    h, w = crop.shape[:2]
-    return crop[g.ID_TOP_PX : int(h * g.ID_BOTTOM), int(w * g.ID_LEFT) :]
+    return _part(crop, g.id_edges(*_size(crop), g.Numbers))
+
+
+def id_column(crop: np.ndarray) -> np.ndarray:
+    return _part(crop, g.id_column_edges(*_size(crop), g.Numbers))
 
 
 def relocate_id(crop: np.ndarray) -> np.ndarray:
-    """The id's region white, its content at the lower left, clipped at the edge."""
-    out, (h, w) = crop.copy(), crop.shape[:2]
-    part = id_region(crop).copy()
-    _fill(out, int(w * g.ID_LEFT), 0, w, int(h * g.ID_BOTTOM))
-    _paste(out, part, g.PASTE_PAD, int(h * (1 - g.EMPTY_BOTTOM)) + g.PASTE_PAD)
+    """The id's region white, from the crop's upper edge, its content at the lower left, clipped at the edge."""
+    out, edges = crop.copy(), g.id_edges(*_size(crop), g.Numbers)
+    x, y, _ = g.paste_place(*_size(crop), g.Numbers)
+    _fill(out, edges[0], 0, *edges[2:])
+    _paste(out, _part(crop, edges).copy(), x, y)
     return out
 
 
@@ -82,8 +90,8 @@ def stamp_marker(crop: np.ndarray, marker: np.ndarray, *, scale: float = g.MARKE
 def crops(page: np.ndarray, marker: np.ndarray | None = None) -> list[np.ndarray]:
     """The 30 boxes, ready for OCR; with a marker also stamped, for OCR of the whole stack."""
     out = []
-    for x1, y1, x2, y2 in box_edges(page.shape[1], page.shape[0]):
-        box = relocate_id(mask_photo(page[y1:y2, x1:x2]))
+    for edges in box_edges(*_size(page)):
+        box = relocate_id(mask_photo(_part(page, edges)))
         out.append(box if marker is None else stamp_marker(box, marker))
     return out
 
@@ -102,4 +110,4 @@ def stack(images: list[np.ndarray], *, gap: int = g.STACK_GAP) -> np.ndarray:
 
 
 def header_area(page: np.ndarray) -> np.ndarray:
-    return page[: int(len(page) * g.HEADER_HEIGHT)]
+    return _part(page, g.header_edges(*_size(page), g.Numbers))

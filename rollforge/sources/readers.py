@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,32 +19,51 @@ def paths_of(uris: str | list[str]) -> list[str]:
     return [u.strip() for u in uris.split(",") if u.strip()] if isinstance(uris, str) else list(uris)
 
 
-def scan_files(spark: SparkSession, folder: str | list[str], suffix: str, *, limit: int | None = None) -> DataFrame:
-    """path, name, content of the files with a suffix (in any case), sorted by name. limit: the first so many; 0 gives none."""
-    glob = "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix.lstrip("."))
+def _glob(suffix: str) -> str:
+    return "*." + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix.lstrip("."))
+
+
+def _names(spark: SparkSession, folder: str | list[str], glob: str) -> DataFrame:
+    """path, name of the files that a glob matches. Contents aren't read: no column asks for them."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths_of(folder))
+    return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
+
+
+def _first(names: DataFrame, limit: int) -> DataFrame:
+    """The paths of the first so many names (ties by path)."""
+    return names.orderBy("name", "path").limit(limit).select("path")
+
+
+def scan_files(spark: SparkSession, folder: str | list[str], suffix: str, *, limit: int | None = None) -> DataFrame:
+    """path, name, content of the files with a suffix (in any case), in no order: contents are never sorted. limit: the first so many by name; 0 gives none."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", _glob(suffix)).load(paths_of(folder))
     files = files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "content")
-    if limit is not None:
-        chosen = files.select("path", "name").orderBy("name", "path").limit(limit)
-        files = files.join(F.broadcast(chosen.select("path")), "path") if limit <= 10_000 else files.join(chosen.select("path"), "path")
-    return files.orderBy("name", "path")
+    return files if limit is None else files.join(_first(_names(spark, folder, _glob(suffix)), limit), "path", "left_semi")
 
 
 def scan_pdfs(spark: SparkSession, folder: str | list[str], *, limit: int | None = None) -> DataFrame:
     return scan_files(spark, folder, "pdf", limit=limit)
 
 
-def scan_images(spark: SparkSession, folder: str, *, suffix: str = "jpg", limit: int | None = None) -> DataFrame:
+def scan_images(spark: SparkSession, folder: str | list[str], *, suffix: str = "jpg", limit: int | None = None) -> DataFrame:
     return scan_files(spark, folder, suffix, limit=limit)
 
 
+def has_text(column) -> F.Column:
+    return F.coalesce(~column.rlike(rf"\A{S}*\z"), F.lit(False))
+
+
 def scan_page_texts(spark: SparkSession, folder: str, *, limit: int | None = None) -> DataFrame:
-    """name, ocr_text, doc_id, page_no of `*.txt` files with text and a page's name. limit: the first so many files; 0 or None: all."""
-    texts = spark.read.text(folder, wholetext=True).select(F.col("_metadata.file_name").alias("name"), F.col("value").alias("ocr_text"))
-    texts = texts.withColumn("name", F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B")))).where(F.lower("name").endswith(".txt"))
+    """name, ocr_text, doc_id, page_no of `*.txt` files with text and a page's name. limit: the first so many files by name; 0 or None: all."""
+    texts = spark.read.option("pathGlobFilter", _glob("txt")).text(paths_of(folder), wholetext=True)
+    texts = texts.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("ocr_text"))
+    texts = texts.withColumn("path", F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))))
     if limit:
-        texts = texts.orderBy("name").limit(limit)
-    texts = texts.where(~F.col("ocr_text").rlike(rf"\A{S}*\z")).withColumn("at", parse_file_name(F.col("name")))
+        # Both readers' paths without their schemes' slashes: file:/x and file:///x.
+        plain = lambda c: F.regexp_replace(c, "^([A-Za-z0-9]+):/*", "$1:/")
+        first = _first(_names(spark, folder, _glob("txt")), limit).select(plain(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))).alias("__path"))
+        texts = texts.join(first, plain(F.col("path")) == F.col("__path"), "left_semi")
+    texts = texts.where(has_text(F.col("ocr_text"))).withColumn("name", F.element_at(F.split("path", "/"), -1)).withColumn("at", parse_file_name(F.col("name")))
     return texts.where("at is not null").select("name", "ocr_text", "at.doc_id", "at.page_no")
 
 
@@ -71,11 +91,17 @@ def load_page_json(spark: SparkSession, path: str, *, multi_line: bool = True) -
 
 
 def load_csv_folder(spark: SparkSession, files: list[str]) -> DataFrame:
-    """All files joined by column name, missing columns null; no file gives an empty frame without columns."""
-    frames = [spark.read.csv(f, header=True, escape='"', multiLine=True) for f in sorted(files) if f.endswith(".csv")]
-    if not frames:
+    """All files joined by column name, missing columns null; no file gives an empty frame without columns.
+
+    One pass finds each file's first line; files of the same header are one read, so the plan grows with the kinds of headers, not with the files."""
+    files = sorted(f for f in files if f.endswith(".csv"))
+    if not files:
         return spark.createDataFrame([], "struct<>")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    lines = spark.read.text(files).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value")
+    heads = lines.where("at = 0").groupBy("path").agg(F.first("value").alias("head"))  # a file's first block is read by one task, in order
+    kinds = heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("head").collect()
+    frames = [spark.read.csv([unquote(p) for p in k.paths], header=True, escape='"', multiLine=True) for k in kinds]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else spark.createDataFrame([], "struct<>")
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:

@@ -1,5 +1,9 @@
 """Numbering, sources, sinks, viewer, comparison, geometry, providers and the command line."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -59,7 +63,7 @@ def test_text_folder_to_csv_bytes(spark, tmp_path):
     (texts / "other.txt").write_text("Name : C\nVOTER_END")
     for n in (1, 2):
         (heads / f"d-ENG-1_page_0{n}_street.txt").write_text("Name : 7-X Part No. 3\nSection No and Name 1-Main, East")
-    cli.main(["--input", str(texts), "--headers", str(heads), "--output", str(out)])
+    assert cli.main(["--texts", str(texts), "--headers", str(heads), "--output", str(out), "--delete-old"]) == 0
     want = "serial_no,epic_id,name,father_name,mother_name,husband_name,other_name,age,gender,house_no,street,part_no,assembly\r\n" '1,,A,,,,,7,M,,"1-Main, East",3,7-X\r\n' '2,,"B ""x""",,,,,,,,"1-Main, East",3,7-X\r\n'
     assert (out / "csv" / sinks.CSV_NAME).read_bytes() == want.encode()
     assert '"mother_name":null' in next((out / "json").glob("part-*.json")).read_text()
@@ -86,7 +90,9 @@ def test_viewer(spark):
     assert df.where(viewer.contains_pattern(F.col("name"), "^a")).count() == 1
     assert df.where(viewer.contains_pattern(F.col("name"), "^a", literal=True)).count() == 0
     assert [r.rule for r in viewer.distinct_rules(df, "rule").collect()] == ["a", "b"]
-    assert [r.v for r in df.select(viewer.whole_age(F.col("age")).alias("v")).collect()] == [1, 3, None]
+    assert [r.v for r in df.select(viewer.whole_age(F.col("age")).alias("v")).collect()] == [1, 2, None]
+    some = spark.createDataFrame([("NaN", float("nan")), ("null", 1.0), ("", None), (None, 2.0)], "t string, x double")
+    assert {r.field: r.n_missing for r in viewer.missing_cells(some).collect()} == {"t": 3, "x": 2}
 
 
 def test_diff(spark):
@@ -95,7 +101,9 @@ def test_diff(spark):
     got = sorted((r.k, r.field, r.actual, r.expected) for r in diff.record_diff(a, b, ["k"]).collect())
     assert got == [(1, "n", "1", "5"), (2, "n", "2", None), (2, "s", "y", None), (3, "n", None, "3"), (3, "s", None, "z")]
     assert [(r.field, r.n) for r in diff.mismatch_histogram(diff.record_diff(a, b, ["k"])).collect()] == [("n", 3), ("s", 2)]
-    assert diff.normalize_rows(spark.createDataFrame([(" b ", 1)], "z string, a int")).columns == ["a", "z"]
+    assert [tuple(r) for r in diff.normalize_rows(spark.createDataFrame([(" b ", 1)], "z string, a int")).collect()] == [(1, "b")]
+    wide = diff.record_diff(a, b.drop("n").withColumn("m", F.lit("q")), ["k"]).collect()
+    assert {(r.k, r.field) for r in wide} == {(1, "n"), (1, "m"), (2, "s"), (2, "n"), (3, "s"), (3, "m")}
 
 
 def test_geometry(spark):
@@ -113,6 +121,15 @@ def test_geometry(spark):
         spark.range(1).select(geometry.marker_place(w, F.lit(40), F.lit(10), F.lit(30))).collect()
 
 
+def sheet(*names):
+    return "\n---\n".join(["Name : 7-X Part No. 3\nSection No and Name 1-Main", *(f"Name : {n}" for n in names)])
+
+
+def write_pdfs(folder):
+    (folder / "d-ENG-1.PDF").write_text("\f".join(["a", "b", sheet("A", "B"), sheet("bad"), sheet("C"), "last"]))
+    (folder / "skip.txt").write_text("x")
+
+
 def test_pdfs_to_records(spark, tmp_path):
     class Broken(ocr.FakeOcr):  # inside, so that it is pickled by value
         def ocr(self, image, lang):
@@ -120,15 +137,124 @@ def test_pdfs_to_records(spark, tmp_path):
                 raise ValueError("no text")
             return image.decode()
 
-    def sheet(*names):
-        return "\n---\n".join(["Name : 7-X Part No. 3\nSection No and Name 1-Main", *(f"Name : {n}" for n in names)])
-
-    (tmp_path / "d-ENG-1.PDF").write_text("\f".join(["a", "b", sheet("A", "B"), sheet("bad"), sheet("C"), "last"]))
-    (tmp_path / "skip.txt").write_text("x")
-    good, failed = records_of_pdfs(spark, Config(str(tmp_path), ""), ocr.FakeRasterizer(), Broken())
+    write_pdfs(tmp_path)
+    good, failed, counts = records_of_pdfs(spark, Config(str(tmp_path), str(tmp_path / "out")), ocr.FakeRasterizer(), Broken())
     assert sorted((r.doc_id, r.page_no, r.serial_no, r.name, r.assembly) for r in good.collect()) == [("d-ENG-1", 1, 1, "A", "7-X"), ("d-ENG-1", 1, 2, "B", "7-X"), ("d-ENG-1", 3, 3, "C", "7-X")]
     assert [(r.page_no, r.error) for r in failed.collect()] == [(2, "ValueError: no text")]
+    assert counts == {"pages": 3, "failed_pages": 1, "blank_pages": 0, "pages_without_header": 0}
     assert readers.scan_pdfs(spark, str(tmp_path), limit=0).count() == 0
+    assert readers.scan_pdfs(spark, str(tmp_path), limit=1).select("name").collect()[0].name == "d-ENG-1.PDF"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_are_read_once(spark, tmp_path):
+    """A provider that never gives the same text twice loses no record; the plan holds one rasteriser and one OCR."""
+
+    class Random(ocr.FakeOcr):
+        def ocr(self, image, lang):
+            import uuid
+
+            return f"Name : {uuid.uuid4().hex}"
+
+    write_pdfs(tmp_path)
+    images = ocr.rasterize(readers.scan_pdfs(spark, str(tmp_path)), ocr.FakeRasterizer())
+    good, _ = ocr.page_rows(ocr.read_pages(images, Random()))
+    direct = records.parse_and_number(readers.page_text(good))
+    assert plan_of(direct).count("MapInPandas") == 2
+    assert sorted(r.serial_no for r in direct.collect()) == [1, 2, 3, 4]
+    by_table, failed, _ = records_of_pdfs(spark, Config(str(tmp_path), str(tmp_path / "out"), keep_images=True), ocr.FakeRasterizer(), Random())
+    assert plan_of(by_table).count("MapInPandas") == plan_of(failed).count("MapInPandas") == 0
+    assert sorted(map(str, by_table.collect())) == sorted(map(str, by_table.collect()))
+    assert sorted(r.serial_no for r in by_table.collect()) == [1, 2, 3, 4]
+    assert spark.read.parquet(str(tmp_path / "out/pages")).where("image is not null").count() == 3
+
+
+def test_boxes(spark):
+    class Cut(ocr.FakeOcr):
+        def boxes(self, image):
+            if image == b"torn":
+                raise ValueError("no grid")
+            return super().boxes(image)
+
+    rows = [("d", 1, "eng", sheet("A", "B").encode()), ("d", 2, "eng", b"torn"), ("d", 3, "eng", b"h\n---\nunreadable x\n---\n \n---\nName : C\nAB-12 3")]
+    images = spark.createDataFrame(rows, "doc_id string, page_no bigint, lang string, image binary")
+    got = ocr.read_boxes(images, Cut(), ids=True).orderBy("page_no", "box_no").collect()
+    assert [(r.page_no, r.box_no, r.ocr_text, r.ocr_id, r.error) for r in got] == [
+        (1, 1, "Name : A", "NameA", None),
+        (1, 2, "Name : B", "NameB", None),
+        (2, None, None, None, "ValueError: no grid"),
+        (3, 1, None, None, "ValueError: no text"),
+        (3, 3, "Name : C\nAB-12 3", "AB123", None),
+    ]
+    assert [(r.page_no, r.box_no) for r in ocr.read_boxes(images, Cut(), limit=1).collect()] == [(1, 1)]
+    assert ocr.read_boxes(images, Cut(), limit=0).columns == ["doc_id", "page_no", "box_no", "lang", "ocr_text", "error"]
+
+
+def test_grid_provider(spark):
+    """Boxes cut from pixels: each box's shade is its number, the header's area has one of its own."""
+
+    def engine(image, lang, kind):
+        shades = ocr.Pgm().decode(image)
+        if kind == "header":
+            return f"Name : {int(shades[0, 0])}-X Part No. 3\nSection No and Name 1-Main"
+        if kind == "id":
+            return f"ID {int(shades[-1, -1])}"
+        return f"Name : box {int(shades[shades.shape[0] // 3, 50])}"
+
+    pixels = np.full((4000, 3000), 255, np.uint8)
+    for i, (x1, y1, x2, y2) in enumerate(raster.box_edges(3000, 4000)):
+        pixels[y1:y2, x1:x2] = i + 1
+    pixels[: 4000 // 50] = 77
+    images = spark.createDataFrame([("d", 1, "eng", bytearray(ocr.Pgm().encode(pixels)))], "doc_id string, page_no bigint, lang string, image binary")
+    page = ocr.read_pages(images, ocr.GridOcr(engine, ocr.Pgm())).first()
+    assert page.header_text.startswith("Name : 77-X")
+    assert page.ocr_text.split("\n")[::2] == [f"Name : box {i}" for i in range(1, 31)]
+    boxes = ocr.read_boxes(images, ocr.GridOcr(engine, ocr.Pgm()), ids=True, limit=5).collect()
+    assert [(r.box_no, r.ocr_id) for r in sorted(boxes, key=lambda r: r.box_no)] == [(i, "ID255") for i in range(1, 6)]
+    assert np.array_equal(ocr.Pgm().decode(ocr.Pgm().encode(pixels[:7, :9])), pixels[:7, :9])
+    spaces = np.full((2, 3), 10, np.uint8)  # pixels that look like white space
+    assert np.array_equal(ocr.Pgm().decode(ocr.Pgm().encode(spaces)), spaces)
+
+
+def test_readers_by_name(spark, tmp_path):
+    for n in ("b_page_02_stacked_ocr.txt", "a+b c_page_01_stacked_ocr.TXT", "c_page_03_stacked_ocr.txt", "notes.txt"):
+        (tmp_path / n).write_text("Name : X\nVOTER_END")
+    for n in ("x.jpg", "y.JPG", "z.png", "w.PNG"):
+        (tmp_path / n).write_bytes(b"\xff\x00")
+    assert sorted(r.name for r in readers.scan_images(spark, str(tmp_path)).collect()) == ["x.jpg", "y.JPG"]
+    assert sorted(r.name for r in readers.scan_images(spark, str(tmp_path), suffix="png", limit=1).collect()) == ["w.PNG"]
+    assert sorted(r.name for r in readers.scan_page_texts(spark, str(tmp_path)).collect()) == ["a+b c_page_01_stacked_ocr.TXT", "b_page_02_stacked_ocr.txt", "c_page_03_stacked_ocr.txt"]
+    assert sorted(r.name for r in readers.scan_page_texts(spark, str(tmp_path), limit=2).collect()) == ["a+b c_page_01_stacked_ocr.TXT", "b_page_02_stacked_ocr.txt"]
+    assert "Sort" not in plan_of(readers.scan_files(spark, str(tmp_path), "jpg"))
+
+
+def test_command_line_as_a_process(tmp_path):
+    write_pdfs(tmp_path)
+    out = tmp_path / "out"
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    command = [sys.executable, os.path.join(here, "rollforge", "cli.py"), "--regression", str(tmp_path), "--output", str(out), "--max-workers", "2", "--delete-old"]
+    command += ["--rasterizer", "rollforge.sources.ocr:FakeRasterizer", "--provider", "rollforge.sources.ocr:FakeOcr"]
+    head = "serial_no,epic_id,name,father_name,mother_name,husband_name,other_name,age,gender,house_no,street,part_no,assembly\r\n"
+    rows = "".join(f"{i},,{n},,,,,,,,1-Main,3,7-X\r\n" for i, n in enumerate(("A", "B", "bad", "C"), 1))
+    (tmp_path / cli.EXPECTED).write_bytes((head + rows).encode())
+    env = {**os.environ, "PYSPARK_SUBMIT_ARGS": "--conf spark.ui.enabled=false pyspark-shell"}
+    done = subprocess.run(command, capture_output=True, text=True, timeout=300, env=env, cwd="/")
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "3 pages" in done.stderr
+    assert (out / "csv" / sinks.CSV_NAME).read_bytes() == (head + rows).encode()
+    (tmp_path / cli.EXPECTED).write_bytes((head + rows.replace("bad", "good")).encode())
+    done = subprocess.run(command, capture_output=True, text=True, timeout=300, env=env, cwd="/")
+    assert done.returncode == 1
+    assert "row 3, name: 'bad', expected 'good'" in done.stderr
+
+
+def test_numbered_stream(spark, tmp_path):
+    spark.createDataFrame([page("d", 2, "c"), page("d", 1, "a", "b")], PAGES).coalesce(1).write.parquet(str(tmp_path / "in"))
+    landing.write_numbered(landing.stream_pages(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+    assert sorted((r.serial_no, r.name) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, "a"), (2, "b"), (3, "c")]
 
 
 def test_stream(spark, tmp_path):
