@@ -12,7 +12,9 @@ from pyspark.sql import Window as W
 
 from .functions import geometry, headers, text
 from .operators import blocks, diff, people, records, viewer
-from .sources import ocr
+from .plans import roll
+from .scratch import new_path
+from .sources import ocr, readers, sinks
 
 _RELATIONS = ("Father", "Husband", "Mother")
 _TA_RELATIONS = ("தந்தையின்", "கணவர்", "தாய்")
@@ -52,9 +54,40 @@ def block_text(tamil: bool = False):
     return F.concat_ws("\n", *lines)
 
 
-def made_pages(spark, sf_dir, *, tamil: bool = False, noise: bool = False) -> DataFrame:
-    """PAGE_TEXT rows. noise: empty blocks, markers on the id's line, an unterminated tail and CRLF."""
-    rows = people_rows(spark, sf_dir).withColumn("block", block_text(tamil))
+def noisy_block(tamil: bool = False):
+    """A person's block as OCR may give it; c_custkey says what is wrong with it."""
+    key = F.col("c_custkey")
+    kind = lambda n: key % (6 if tamil else 8) == n
+    house = F.concat((key % 97).cast("string"), F.lit("/"), F.col("c_nationkey").cast("string"))
+    age = (18 + key % 80).cast("string")
+    if tamil:
+        # 0: zero-width marks and hard spaces; 1: = for :, and tabs; 2: another relation; 3: O for 0 in the id; 4: no name; 5: a gender that isn't known.
+        name = F.when(kind(0), F.concat(F.lit("பெ\u200cயர்\u00a0:\ufeff "), "c_name")).when(kind(1), F.concat(F.lit("பெயர்\t=  "), "c_name")).when(kind(4), F.lit("?")).otherwise(F.concat(F.lit("பெயர் : "), "c_name"))
+        relation = F.when(kind(2), F.concat(F.lit("மற்றவர் : "), "c_mktsegment")).when(kind(4), F.lit("-")).otherwise(F.concat(F.lit("தாய் பெயர் : "), "c_mktsegment"))
+        gender = F.when(kind(5), "?").when(key % 2 == 0, "ஆண்").otherwise("பெண்")
+        epic = F.when(kind(3), F.translate("epic", "0", "O")).otherwise(F.col("epic"))
+        return F.concat_ws("\n", F.lit("12"), name, relation, F.concat(F.lit("வீட்டு எண் : "), house), F.concat(F.lit("வயது + "), age, F.lit(" பாலினம் : "), gender), epic)
+    # 0: Narne for Name; 1: Gander and Famale; 2: another relation; 3: no house; 4: a gender that fails; 5: the id above the name only; 6: a relation that fails; 7: no name.
+    name = F.when(kind(0), F.concat(F.lit("Narne = "), "c_name")).when(kind(7), F.lit("lost")).otherwise(F.concat(F.lit("Name : "), "c_name"))
+    relation = F.when(kind(2), F.concat(F.lit("Other : "), "c_mktsegment")).when(kind(6), F.concat(F.lit("Father Name ; "), "c_mktsegment")).when(kind(7), F.lit("-")).otherwise(F.concat(F.lit("Father Name : "), "c_mktsegment"))
+    gender = F.when(key % 2 == 0, "MALE").otherwise("Female")
+    last = F.when(kind(1), F.concat(F.lit("Age : "), age, F.lit(" Gander : "), F.when(key % 2 == 0, "Male").otherwise("Famale"))).when(kind(4), F.concat(F.lit("Age + "), age, F.lit(" Gender ? "), gender)).otherwise(F.concat(F.lit("Age : "), age, F.lit(" Gender + "), gender))
+    return F.concat_ws("\n", F.when(kind(5), F.col("epic")).otherwise(F.lit("7")), name, relation, F.when(~kind(3), F.concat(F.lit("House Number : "), house)), last, F.when(kind(5), F.lit("photo")).otherwise(F.col("epic")))
+
+
+_NOISY_EN_SQL = """CASE WHEN k NOT IN (5, 7) THEN epic END AS epic_id, CASE WHEN k <> 7 THEN c_name END AS name, CASE WHEN k NOT IN (2, 6, 7) THEN c_mktsegment END AS father_name,
+CAST(NULL AS VARCHAR) AS husband_name, CAST(NULL AS VARCHAR) AS mother_name, CASE WHEN k = 2 THEN c_mktsegment END AS other_name,
+CASE WHEN k NOT IN (3, 7) THEN CAST(c_custkey % 97 AS VARCHAR) || '/' || CAST(c_nationkey AS VARCHAR) END AS house_no,
+CASE WHEN k <> 7 THEN CAST(18 + c_custkey % 80 AS BIGINT) END AS age, CASE WHEN k NOT IN (4, 7) THEN CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END END AS gender"""
+_NOISY_TA_SQL = """CASE WHEN k <> 4 THEN epic END AS epic_id, CASE WHEN k <> 4 THEN c_name END AS name, CAST(NULL AS VARCHAR) AS father_name,
+CAST(NULL AS VARCHAR) AS husband_name, CASE WHEN k NOT IN (2, 4) THEN c_mktsegment END AS mother_name, CASE WHEN k = 2 THEN c_mktsegment END AS other_name,
+CASE WHEN k <> 4 THEN CAST(c_custkey % 97 AS VARCHAR) || '/' || CAST(c_nationkey AS VARCHAR) END AS house_no,
+CASE WHEN k <> 4 THEN CAST(18 + c_custkey % 80 AS BIGINT) END AS age, CASE WHEN k NOT IN (4, 5) THEN CASE WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END END AS gender"""
+
+
+def made_pages(spark, sf_dir, *, tamil: bool = False, noise: bool = False, block=None) -> DataFrame:
+    """PAGE_TEXT rows. noise: empty blocks, markers on the id's line, an unterminated tail and CRLF. block: in place of block_text."""
+    rows = people_rows(spark, sf_dir).withColumn("block", block_text(tamil) if block is None else block)
     lang = "TAM" if tamil else "ENG"
     end = F.concat(F.lit(" VOTER_END\n\nVOTER_END\n")) if noise else F.lit("\nVOTER_END\n")
     held = rows.groupBy("nn", "c_nationkey", "page_no").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_pos", "block"))), lambda x: F.concat(x["block"], end)), "").alias("ocr_text"))
@@ -109,6 +142,15 @@ def parse_tamil_records(spark, sf_dir):
     return records.parse_and_number(made_pages(spark, sf_dir, tamil=True))
 
 
+def parse_english_noise(spark, sf_dir):
+    """Records of blocks with lost, changed and failing lines."""
+    return records.parse_and_number(made_pages(spark, sf_dir, noise=True, block=noisy_block()))
+
+
+def parse_tamil_noise(spark, sf_dir):
+    return records.parse_and_number(made_pages(spark, sf_dir, tamil=True, noise=True, block=noisy_block(True)))
+
+
 def _split(pages):
     return pages.select("doc_id", "page_no", F.posexplode(blocks.split_blocks(F.col("ocr_text"))).alias("block_pos", "block")).withColumn("block_pos", F.col("block_pos").cast("bigint"))
 
@@ -273,17 +315,16 @@ def _triples(spark, sf_dir):
     """Customers in threes: (row, a, b, c)."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     group = F.floor((F.col("c_custkey") + 2) / 3).cast("bigint").alias("row")
-    held = c.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("c_custkey", "c_name", "c_mktsegment"))).alias("p")).where(F.size("p") == 3)
-    return held
+    return c.groupBy(group).agg(F.sort_array(F.collect_list(F.struct("c_custkey", "c_name", "c_mktsegment"))).alias("p"))
 
 
-_TRIPLES_SQL = """c AS (SELECT c_custkey, c_name, c_mktsegment, (c_custkey + 2) // 3 AS row, (c_custkey + 2) % 3 AS i FROM customer),
-t AS (SELECT * FROM c WHERE row IN (SELECT row FROM c GROUP BY row HAVING count(*) = 3))"""
+#: The first and the last row may hold fewer than three.
+_TRIPLES_SQL = """t AS (SELECT c_custkey, c_name, c_mktsegment, (c_custkey + 2) // 3 AS row, row_number() OVER (PARTITION BY (c_custkey + 2) // 3 ORDER BY c_custkey) - 1 AS i FROM customer)"""
 
 
 def table_rows(spark, sf_dir):
     """Three people side by side, the third without age and gender."""
-    p = lambda i, f: F.col("p")[i][f]
+    p = lambda i, f: F.get("p", F.lit(i))[f]  # noqa: E731  null where the row has fewer
     label = ("Father Name", "Husband Name", "Mother Name")
     names = F.concat_ws(" ", *[F.concat(F.lit("Name : "), F.translate(p(i, "c_name"), "#", " ")) for i in range(3)])
     relations = F.concat_ws(" ", *[F.concat(F.lit(f"{label[i]} : "), p(i, "c_mktsegment")) for i in range(3)])
@@ -293,19 +334,20 @@ def table_rows(spark, sf_dir):
     return _triples(spark, sf_dir).select("row", F.inline(people.parse_table_rows(page)))
 
 
-_TABLE_ROWS_SQL = f"""WITH {_TRIPLES_SQL}
+_TABLE_ROWS_SQL = f"""WITH {_TRIPLES_SQL}, r AS (SELECT row, unnest([0, 1, 2]) AS i FROM (SELECT DISTINCT row FROM t))
 SELECT row, translate(c_name, '#', ' ') AS name, CASE WHEN i = 0 THEN c_mktsegment END AS father_name, CASE WHEN i = 2 THEN c_mktsegment END AS mother_name,
        CASE WHEN i = 1 THEN c_mktsegment END AS husband_name, CAST(NULL AS VARCHAR) AS other_name, CAST(c_custkey % 97 AS VARCHAR) || '/A' AS house_no,
-       CASE WHEN i < 2 THEN CAST(18 + c_custkey % 80 AS BIGINT) END AS age, CASE WHEN i < 2 THEN CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END END AS gender FROM t"""
+       CASE WHEN i < 2 THEN CAST(18 + c_custkey % 80 AS BIGINT) END AS age, CASE WHEN i < 2 AND c_custkey IS NOT NULL THEN CASE WHEN c_custkey % 2 = 0 THEN 'Male' ELSE 'Female' END END AS gender
+FROM r LEFT JOIN t USING (row, i)"""
 
 
 def labelled_values(spark, sf_dir):
-    line = F.concat_ws(" ", *[F.concat(F.lit("Father Name = "), F.col("p")[i]["c_name"], F.lit(" -")) for i in range(3)], F.lit("Age : 3"))
+    line = F.concat_ws(" ", *[F.concat(F.lit("Father Name = "), F.get("p", F.lit(i))["c_name"], F.lit(" -")) for i in range(3)], F.lit("Age : 3"))
     return _triples(spark, sf_dir).select("row", F.posexplode(text.labelled_values(line, "Father Name")).alias("i", "value")).withColumn("i", F.col("i").cast("bigint"))
 
 
 def column_spans(spark, sf_dir):
-    line = F.concat(F.lit("x "), F.concat_ws(" ", *[F.concat(F.lit("Name : "), F.col("p")[i]["c_mktsegment"]) for i in range(3)]))
+    line = F.concat(F.lit("x "), F.concat_ws(" ", *[F.concat(F.lit("Name : "), F.get("p", F.lit(i))["c_mktsegment"]) for i in range(3)]))
     spans = text.column_spans(line)
     return _triples(spark, sf_dir).select("row", F.posexplode(spans).alias("i", "s")).select("row", F.col("i").cast("bigint").alias("i"), F.col("s.start").cast("bigint").alias("start"), F.col("s.end").cast("bigint").alias("end"))
 
@@ -346,9 +388,43 @@ SELECT n_nationkey, box_no,
  CAST(least(trunc(h * CAST(0.25 AS DOUBLE)) - 10, h - (trunc(h * (1 - CAST(0.3 AS DOUBLE))) + 6)) AS BIGINT) AS visible, CAST(h - 60 - 8 AS BIGINT) AS marker_y FROM g"""
 
 
+def stack_geometry(spark, sf_dir):
+    """Where each of five images begins in a stack."""
+    heights = F.transform(F.sequence(F.lit(1), F.lit(5)), lambda i: (F.col("n_nationkey") * i + i).cast("bigint"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", F.posexplode(geometry.stack_offsets(heights)).alias("i", "top")).withColumn("i", F.col("i").cast("bigint"))
+
+
+_STACK_SQL = """SELECT n_nationkey, CAST(i AS BIGINT) AS i, CAST(list_sum([0] || list_transform(range(1, i + 1), lambda j: (n_nationkey + 1) * j)) + 10 * i AS BIGINT) AS top FROM (SELECT n_nationkey, unnest(range(5)) AS i FROM nation)"""
+
+
 # --- viewer and comparison ---
 
 
+def _flagged(spark, sf_dir):
+    """Customers as the viewer's rows: cluster, section, rules, age."""
+    key = F.col("c_custkey")
+    rule = F.when(key % 7 != 0, F.concat(F.lit("age "), (key % 5).cast("string"), F.lit("; "), "c_mktsegment"))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("cluster_id"), (key % 4).alias("section_no"), rule.alias("rule"), F.when(key % 11 == 0, "?").otherwise(((key % 160) / 2).cast("string")).alias("age"))
+
+
+def filter_cluster(spark, sf_dir):
+    return _flagged(spark, sf_dir).where(viewer.equals_text(F.col("cluster_id"), "7") & viewer.equals_text(F.col("section_no"), "2")).select("c_custkey")
+
+
+def filter_rule(spark, sf_dir):
+    return _flagged(spark, sf_dir).where(viewer.contains_pattern(F.col("rule"), "age 3", literal=True)).select("c_custkey", "rule")
+
+
+def whole_ages(spark, sf_dir):
+    return _flagged(spark, sf_dir).select("c_custkey", viewer.whole_age(F.col("age")).alias("age"))
+
+
+def rows_normalized(spark, sf_dir):
+    """Strings stripped, columns by name."""
+    c = table(spark, sf_dir, "customer").select("c_name", F.concat(F.lit(" \t"), "c_mktsegment", F.lit("\n ")).alias("b_segment"), F.col("c_custkey").alias("a_key"))
+    return diff.normalize_rows(c)
+
+
 def union_by_name(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     a = c.where("c_custkey % 2 = 0").select("c_custkey", "c_name")
@@ -405,11 +481,13 @@ def mismatch_histogram(spark, sf_dir):
 # --- providers ---
 
 
-def made_pdfs(spark, sf_dir) -> DataFrame:
-    """name, content of a fake document for each nation, with two pages of front matter and a last page."""
+def made_pdfs(spark, sf_dir, bad: int | None = None) -> DataFrame:
+    """name, content of a fake document for each nation, with two pages of front matter and a last page. bad: each so manieth page has a box that can't be read."""
     rows = people_rows(spark, sf_dir).withColumn("block", block_text())
     page = F.concat(F.lit("No and Name : 7-Place Part No. : "), F.first(F.col("c_nationkey").cast("string")), F.lit("\nSection No and Name 1-Street\n---\n"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("block_pos", "block"))), lambda x: x["block"]), "\n---\n"))
     pages = rows.groupBy("nn", "page_no").agg(page.alias("page"))
+    if bad:
+        pages = pages.withColumn("page", F.when(F.col("page_no") % bad == 0, F.concat("page", F.lit("\n---\nunreadable"))).otherwise(F.col("page")))
     pdfs = pages.groupBy("nn").agg(F.sort_array(F.collect_list(F.struct("page_no", "page"))).alias("p"))
     body = F.concat(F.lit("front\fmatter\f"), F.array_join(F.transform("p", lambda x: x["page"]), "\f"), F.lit("\flast")).cast("binary")
     return pdfs.select(F.concat(F.lit("doc-"), "nn", F.lit("-ENG-1-WI.PDF")).alias("name"), body.alias("content"))
@@ -417,10 +495,8 @@ def made_pdfs(spark, sf_dir) -> DataFrame:
 
 def ocr_fake_pipeline(spark, sf_dir):
     """Documents go through the fake rasteriser and OCR, then the text path."""
-    from .sources.readers import page_text
-
     good, _ = ocr.page_rows(ocr.read_pages(ocr.rasterize(made_pdfs(spark, sf_dir), ocr.FakeRasterizer()), ocr.FakeOcr()))
-    return records.parse_and_number(page_text(good))
+    return records.parse_and_number(readers.page_text(good))
 
 
 def ocr_fake_boxes(spark, sf_dir):
@@ -429,13 +505,104 @@ def ocr_fake_boxes(spark, sf_dir):
     return people.parse_blocks(boxes.select("doc_id", "page_no", "box_no", "ocr_text"), text="ocr_text")
 
 
+def page_failures(spark, sf_dir):
+    """Each seventh page can't be read: the others' records are numbered without it, and the failed pages stand behind them."""
+    pages = ocr.read_pages(ocr.rasterize(made_pdfs(spark, sf_dir, bad=7), ocr.FakeRasterizer()), ocr.FakeOcr())
+    path = new_path(spark, "pages")
+    pages, counts = roll.write_pages(pages, path)
+    good, failed = ocr.page_rows(pages)
+    numbered = records.parse_and_number(readers.page_text(good)).select("doc_id", "page_no", "serial_no", "name", F.lit(None).cast("string").alias("error"))
+    return numbered.unionByName(failed.select("doc_id", "page_no", F.lit(None).cast("bigint").alias("serial_no"), F.lit(None).cast("string").alias("name"), "error"))
+
+
+def ocr_fake_ids(spark, sf_dir):
+    """Id OCR of each box."""
+    return ocr.read_boxes(ocr.rasterize(made_pdfs(spark, sf_dir), ocr.FakeRasterizer()), ocr.FakeOcr(), ids=True).select("doc_id", "page_no", "box_no", "ocr_id")
+
+
+# --- files ---
+
+
+def _write_files(spark, rows: DataFrame, folder: str) -> None:
+    """A file for each row (name, body): what a scanner leaves, a few for each nation."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for r in rows.toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{r.name}")
+        out = path.getFileSystem(conf).create(path, True)
+        out.write(bytearray(r.body.encode()))
+        out.close()
+
+
+def _text_folder(spark, sf_dir) -> tuple[str, str]:
+    folder = new_path(spark, "texts")
+    pages = made_pages(spark, sf_dir)
+    _write_files(spark, pages.select(F.col("source_image").alias("name"), F.col("ocr_text").alias("body")), f"{folder}/texts")
+    odd = [("blank_page_01_stacked_ocr.txt", " \n\t"), ("notes.txt", "Name : X\nVOTER_END"), ("page.jpg", "no text")]
+    _write_files(spark, spark.createDataFrame(odd, "name string, body string"), f"{folder}/texts")
+    head = F.concat(F.lit("Name : "), "assembly", F.lit(" Part No. : "), F.col("part_no").cast("string"), F.lit("\nSection No and Name "), "street")
+    _write_files(spark, pages.select(F.replace("source_image", F.lit("_stacked_ocr"), F.lit("_street")).alias("name"), head.alias("body")), f"{folder}/headers")
+    return f"{folder}/texts", f"{folder}/headers"
+
+
+def text_folder(spark, sf_dir):
+    """Page texts and headers as files, scanned and parsed; blank files and other names are skipped."""
+    texts, heads = _text_folder(spark, sf_dir)
+    return roll.records_of_texts(spark, texts, heads)
+
+
+def text_folder_limit(spark, sf_dir):
+    """The first five files by name: one is blank."""
+    texts, _ = _text_folder(spark, sf_dir)
+    return readers.scan_page_texts(spark, texts, limit=5).select("name", "doc_id", "page_no")
+
+
+def csv_folder(spark, sf_dir):
+    """A folder of CSV files with two kinds of headers, joined by name."""
+    c, folder = table(spark, sf_dir, "customer"), new_path(spark, "csv")
+    c.where("c_custkey % 2 = 0").select("c_custkey", "c_name").write.mode("append").csv(folder, header=True)
+    c.where("c_custkey % 2 = 1").select("c_mktsegment", "c_custkey").write.mode("append").csv(folder, header=True)
+    return readers.load_csv_folder(spark, readers.list_files(spark, folder))
+
+
+def csv_round_trip(spark, sf_dir):
+    """The CSV file, written in its dialect and read back as text."""
+    path = sinks.write_csv(parse_english_noise(spark, sf_dir), new_path(spark, "out"))
+    return spark.read.csv(path, header=True, escape='"', multiLine=True)
+
+
+def json_round_trip(spark, sf_dir):
+    path, got = new_path(spark, "json"), parse_english_noise(spark, sf_dir)
+    sinks.write_json(got, path)
+    return spark.read.schema(got.schema).json(path)
+
+
+def page_json(spark, sf_dir):
+    """Pages as JSON, read by the schema of pages."""
+    path = new_path(spark, "pages")
+    sinks.write_json(made_pages(spark, sf_dir), path)
+    return readers.load_page_json(spark, path, multi_line=False).drop("ocr_text")
+
+
 _OCR_SQL = f"WITH {_sql_rows('ENG')} SELECT {_sql_person()}, doc_id || '_page_' || lpad(CAST(page_no AS VARCHAR), 2, '0') || '_stacked_ocr.txt' AS source_image, doc_id, '7-Place' AS assembly, CAST(c_nationkey AS BIGINT) AS part_no, '1-Street' AS street, page_no, block_pos, rn AS serial_no FROM r"
 
 _W = f"WITH {_sql_rows('ENG')} "
+
+
+def _sql_noise(lang: str, kinds: int, person: str) -> str:
+    return f"WITH {_sql_rows(lang)}, n AS (SELECT *, c_custkey % {kinds} AS k FROM r) SELECT {person}, {_sql_keys()} FROM n"
+
+
+_FAILURES_SQL = f"""WITH {_sql_rows('ENG')}, g AS (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY rn) AS serial FROM r WHERE page_no % 7 <> 0)
+SELECT doc_id, page_no, serial AS serial_no, c_name AS name, CAST(NULL AS VARCHAR) AS error FROM g
+UNION ALL SELECT DISTINCT doc_id, page_no, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), 'ValueError: no text' FROM r WHERE page_no % 7 = 0"""
+_CSV_SQL = f"SELECT CAST(COLUMNS(*) AS VARCHAR) FROM (SELECT serial_no, epic_id, name, father_name, mother_name, husband_name, other_name, age, gender, house_no, street, part_no, assembly FROM ({_sql_noise('ENG', 8, _NOISY_EN_SQL)}))"
+_FLAGGED_SQL = """WITH f AS (SELECT c_custkey, c_nationkey, c_custkey % 4 AS section_no, CASE WHEN c_custkey % 7 <> 0 THEN 'age ' || CAST(c_custkey % 5 AS VARCHAR) || '; ' || c_mktsegment END AS rule FROM customer)"""
 #: name: (query, SQL)
 ALL = {
     "parse_english_records": (parse_english_records, _sql_records("ENG")),
     "parse_tamil_records": (parse_tamil_records, _sql_records("TAM")),
+    "parse_english_noise": (parse_english_noise, _sql_noise("ENG", 8, _NOISY_EN_SQL)),
+    "parse_tamil_noise": (parse_tamil_noise, _sql_noise("TAM", 6, _NOISY_TA_SQL)),
     "split_blocks": (split_blocks, _SPLIT_SQL),
     "split_blocks_noise": (split_blocks_noise, _SPLIT_SQL),
     "serial_numbers": (serial_numbers, _W + "SELECT doc_id, epic AS epic_id, rn AS serial_no FROM r"),
@@ -458,7 +625,7 @@ ALL = {
     "id_pick": (id_pick, _W + "SELECT c_custkey, epic || CASE WHEN c_custkey % 2 = 0 THEN '9' ELSE '' END AS epic_id FROM r"),
     "gender_normalize": (gender_normalize, _GENDER_SQL),
     "table_rows": (table_rows, _TABLE_ROWS_SQL),
-    "labelled_values": (labelled_values, f"WITH {_TRIPLES_SQL} SELECT row, CAST(j AS BIGINT) AS i, CASE WHEN j = i THEN c_name END AS value FROM (SELECT *, i AS j FROM t)"),
+    "labelled_values": (labelled_values, f"WITH {_TRIPLES_SQL} SELECT row, CAST(i AS BIGINT) AS i, c_name AS value FROM t"),
     "column_spans": (column_spans, _SPANS_SQL),
     "box_geometry": (box_geometry, _BOXES_SQL),
     "crop_geometry": (crop_geometry, _CROPS_SQL),
@@ -471,6 +638,19 @@ ALL = {
     "missing_cells": (missing_cells, "SELECT unnest(['epic_id', 'father_name', 'husband_name', 'mother_name', 'other_name', 'age']) AS field, unnest([0, count(*) FILTER (WHERE c_custkey % 3 <> 0), count(*) FILTER (WHERE c_custkey % 3 <> 1), count(*) FILTER (WHERE c_custkey % 3 <> 2), count(*), 0]) AS n_missing FROM customer"),
     "record_diff": (record_diff, _DIFF_SQL),
     "mismatch_histogram": (mismatch_histogram, f"SELECT field, count(*) AS n FROM ({_DIFF_SQL}) GROUP BY field"),
+    "stack_geometry": (stack_geometry, _STACK_SQL),
+    "filter_cluster": (filter_cluster, _FLAGGED_SQL + " SELECT c_custkey FROM f WHERE c_nationkey = 7 AND section_no = 2"),
+    "filter_rule": (filter_rule, _FLAGGED_SQL + " SELECT c_custkey, rule FROM f WHERE contains(rule, 'age 3')"),
+    "whole_ages": (whole_ages, "SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN CAST(round_even((c_custkey % 160) / 2.0, 0) AS BIGINT) END AS age FROM customer"),
+    "rows_normalized": (rows_normalized, "SELECT c_custkey AS a_key, c_mktsegment AS b_segment, c_name FROM customer"),
+    "page_failures": (page_failures, _FAILURES_SQL),
+    "ocr_fake_ids": (ocr_fake_ids, _W + "SELECT doc_id, page_no, block_pos + 1 AS box_no, epic AS ocr_id FROM r"),
+    "text_folder": (text_folder, _sql_records("ENG")),
+    "text_folder_limit": (text_folder_limit, _W + "SELECT doc_id || '_page_' || lpad(CAST(page_no AS VARCHAR), 2, '0') || '_stacked_ocr.txt' AS name, doc_id, page_no FROM r GROUP BY doc_id, page_no ORDER BY 1 LIMIT 4"),
+    "csv_folder": (csv_folder, "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS c_name, CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS c_mktsegment FROM customer"),
+    "csv_round_trip": (csv_round_trip, _CSV_SQL),
+    "json_round_trip": (json_round_trip, _sql_noise("ENG", 8, _NOISY_EN_SQL)),
+    "page_json": (page_json, _W + "SELECT DISTINCT doc_id || '_page_' || lpad(CAST(page_no AS VARCHAR), 2, '0') || '_stacked_ocr.txt' AS source_image, doc_id, CAST(c_nationkey + 100 AS VARCHAR) || '-Place' AS assembly, CAST(c_nationkey + 1 AS BIGINT) AS part_no, '1-Street ' || nn AS street, page_no FROM r"),
     "ocr_fake_pipeline": (ocr_fake_pipeline, _OCR_SQL),
     "ocr_fake_boxes": (ocr_fake_boxes, _W + f"SELECT doc_id, page_no, block_pos + 1 AS box_no, {_sql_person()} FROM r"),
 }
