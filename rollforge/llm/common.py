@@ -5,26 +5,13 @@ from __future__ import annotations
 import atexit
 import ctypes
 import gc
-import shutil
 import sys
-import tempfile
-import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset one of our own in local mode, which has one machine, and an error on a cluster."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir isn't set: intermediate tables need a folder that driver and executors share")
-        where = tempfile.mkdtemp(prefix="rollforge-")
-        spark.sparkContext.setCheckpointDir(where)
-        atexit.register(shutil.rmtree, where, ignore_errors=True)
-    return where.rstrip("/")
+from ..scratch import new_path
 
 
 #: Folders of intermediate tables that this driver has written and not deleted.
@@ -37,7 +24,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     if not _WRITTEN:
         atexit.unregister(_sweep_at_end)
         atexit.register(_sweep_at_end)
-    path = f"{shared_dir(spark)}/rollforge-{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, name)
     _WRITTEN.append(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
