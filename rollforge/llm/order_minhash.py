@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import let
+from .common import let, materialize
 
 K, M_BITS, L = 2, 6, 3
 MAX_TOKEN = 8
@@ -115,37 +115,59 @@ def likeness(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(0), lambda n, same: n + same.cast("int")) / F.size(a)
 
 
-def with_next(docs: DataFrame, columns: list[str], *, key: str = "doc_id", parts: int | None = None) -> DataFrame:
-    """docs with next: the struct of columns of the row that follows in descending order of key (nulls last, ties by the columns; after the last: the first).
+def with_next(docs: DataFrame, columns: list[str], *, key: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
+    """docs with next: the struct of columns of the row that follows in descending order of key (nulls last, rows of one key by the hash of their text, then the text; after the last: the first).
 
     Rows are cut at quantiles of key into many ranges; the first key of each range is also dealt, as a ghost, to
-    the range before, so that each range finds its successors alone. The driver holds a key for each range."""
+    the range before, so that each range finds its successors alone. A key that fills more than a range, and nulls, are cut by the hash of the text; a further pass
+    over such rows alone finds their ranges' first rows. Rows of one key and text are one range however many they are. The driver holds a key for each range."""
     spark = docs.sparkSession
     parts = parts or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.where(F.col(key).isNotNull()).agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], F.lit(max(10_000, 4 * parts))).alias("q"), F.max(key).alias("top")).collect()[0]
-    # Ranges go down from the top: range j has keys <= ends[j] and > ends[j + 1].
-    ends = sorted({*(cuts.q or ()), *([] if cuts.top is None else [cuts.top])}, reverse=True)
-    if not ends:
-        own, ghost = F.lit(0), F.lit(0)
-    else:
-        steps = max(1, len(ends).bit_length())
-        held = F.lit(ends)
-        # Binary search for the last j with ends[j] >= key; null keys go to the last range.
-        search = F.aggregate(
+    k = F.col(key)
+    quantiles = F.percentile_approx(key, [i / parts for i in range(1, parts)], F.lit(max(10_000, 4 * parts)))
+    seen = docs.agg(quantiles.alias("q"), F.max(key).alias("top"), F.count(F.lit(1)).alias("n"), F.count(key).alias("known")).collect()[0]
+    found = [*(seen.q or ()), *([] if seen.top is None else [seen.top])]
+    ends = sorted(set(found), reverse=True)
+    # Ranges go down from the top: those of ends[j] are, if it is hot, so many of its own rows, then one of keys below it, above ends[j + 1]; else one of both.
+    hot = [found.count(e) if found.count(e) > (2 if e == seen.top else 1) else 0 for e in ends]
+    base, special, at = [], [], 0
+    for h in hot:
+        base.append(at)
+        special += range(at, at + h + 1) if h else ()
+        at += h + 1 if h else 1
+    nulls = max(1, -(-parts * (seen.n - seen.known) // seen.n)) if seen.n > seen.known else 0
+    special += range(at, at + nulls)
+    h = F.xxhash64(F.lit(7), text)
+    share = lambda m: F.least(F.floor((h.cast("double") / F.lit(2.0**64) + 0.5) * m).cast("int"), (m - 1).cast("int"))
+    own = F.lit(at) + share(F.lit(max(1, nulls)))  # of nulls
+    if ends:
+        held, steps = F.lit(ends), max(1, len(ends).bit_length())
+        # Binary search for the last j with ends[j] >= key.
+        j = F.aggregate(
             F.sequence(F.lit(steps - 1), F.lit(0), F.lit(-1)),
             F.lit(0),
-            lambda j, b: let(j + F.call_function("shiftleft", F.lit(1), b), lambda up: F.when((up < len(ends)) & (F.get(held, up) >= F.col(key)), up).otherwise(j)),
+            lambda j, b: let(j + F.call_function("shiftleft", F.lit(1), b), lambda up: F.when((up < len(ends)) & (F.get(held, up) >= k), up).otherwise(j)),
         )
-        own = F.when(F.col(key).isNull(), F.lit(len(ends) - 1)).otherwise(search)
-        ghost = F.when(F.get(held, own) == F.col(key), F.pmod(own - 1, F.lit(len(ends))))
-    if not ends or len(ends) == 1:
-        # One range, of one key (or nulls only): its own first row follows its last.
-        ghost = F.lit(0)
-    rows = docs.withColumn("__rf_own", own)
-    rows = rows.withColumn("__rf_deal", F.when(ghost.isNotNull(), F.array(F.struct(F.col("__rf_own").alias("r"), F.lit(False).alias("g")), F.struct(ghost.cast("int").alias("r"), F.lit(True).alias("g")))).otherwise(F.array(F.struct(F.col("__rf_own").alias("r"), F.lit(False).alias("g")))))
-    rows = rows.select(*docs.columns, F.explode("__rf_deal").alias("__rf_at")).select(*docs.columns, F.col("__rf_at.r").alias("__rf_r"), F.col("__rf_at.g").alias("__rf_g"))
-    order = W.partitionBy("__rf_r").orderBy("__rf_g", F.desc_nulls_last(key), *columns)
-    rows = rows.withColumn("next", F.lead(F.struct(*columns)).over(order))
+        of = lambda j: let(F.get(F.lit(hot), j), lambda m: F.get(F.lit(base), j) + F.when(m == 0, F.lit(0)).when(F.get(held, j) == k, share(F.greatest(m, F.lit(1)))).otherwise(m))
+        own = F.when(k.isNull(), own).otherwise(let(j, of))
+    rows = docs.withColumn("__rf_r", own.cast("int"))
+    order = F.struct((-k).alias("k"), h.alias("h"), F.col(text).alias("t"))
+    firsts = None
+    if special:
+        firsts = rows.where(F.col("__rf_r").isin(special)).groupBy("__rf_r").agg(F.min_by(F.struct(*docs.columns), order).alias("first"))
+        firsts = materialize(firsts, "firsts")
+    filled = sorted({*range(at + nulls)} - set(special) | ({r["__rf_r"] for r in firsts.select("__rf_r").collect()} if firsts else set()))
+    before = [0] * (at + nulls)
+    for i, r in enumerate(filled):
+        before[r] = filled[i - 1]
+    back = F.get(F.lit(before or [0]), F.col("__rf_r"))
+    starts = F.lit(False) if not ends else F.coalesce(F.array_contains(F.lit([e for e, x in zip(ends, hot, strict=True) if not x]).cast("array<bigint>"), k), F.lit(False)) if any(x == 0 for x in hot) else F.lit(False)
+    deal = F.when(starts, F.array(F.struct(F.col("__rf_r").alias("r"), F.lit(False).alias("g")), F.struct(back.alias("r"), F.lit(True).alias("g")))).otherwise(F.array(F.struct(F.col("__rf_r").alias("r"), F.lit(False).alias("g"))))
+    rows = rows.select(*docs.columns, F.explode(deal).alias("__rf_at")).select(*docs.columns, F.col("__rf_at.r").alias("__rf_r"), F.col("__rf_at.g").alias("__rf_g"))
+    if firsts:
+        rows = rows.union(firsts.select(*[F.col(f"first.{c}").alias(c) for c in docs.columns], back.alias("__rf_r"), F.lit(True).alias("__rf_g")))
+    in_range = W.partitionBy("__rf_r").orderBy("__rf_g", F.desc_nulls_last(key), h, text)
+    rows = rows.withColumn("next", F.lead(F.struct(*columns)).over(in_range))
     return rows.where("not __rf_g").select(*docs.columns, "next")
 
 
@@ -153,7 +175,7 @@ def compare_with_edits(docs: DataFrame, **settings) -> DataFrame:
     """For each row of docs (doc_id, text): the fingerprints of its text and of its edited text, and their likeness.
 
     The edited text has the last floor(n / 2) code points replaced by the first as many of the next document's. Null
-    texts count as empty; equal ids follow each other in the order of their texts; a single row is its own
+    texts count as empty; rows of equal or null ids follow each other in the order of a hash of their texts; a single row is its own
     successor; an empty table gives an empty result."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("sig", fingerprint(F.col("text"), **settings))

@@ -98,13 +98,22 @@ def test_likeness_follows_edit_distance(spark, n):
     assert mean["halves"] + 0.2 < mean["tenth"] < 0.9
 
 
-@pytest.mark.parametrize("n", [1, 2, 57])
-def test_next_over_ranges(spark, n):
-    r = random.Random(n)
-    ids = [None, None, *(r.randint(0, 30) for _ in range(n))] if n > 2 else list(range(n))
+@pytest.mark.parametrize("kind", ["one", "two", "many", "nulls", "hot", "one key", "hot top and nulls"])
+def test_next_over_ranges(spark, kind):
+    r = random.Random(len(kind))
+    ids = {
+        "one": [5],
+        "two": [3, 9],
+        "many": [None, None, *(r.randint(0, 30) for _ in range(57))],
+        "nulls": [None] * 40,
+        "hot": [*(r.randint(0, 400) for _ in range(60)), *[77] * 80],
+        "one key": [4] * 50,
+        "hot top and nulls": [*[900] * 60, *(r.randint(0, 900) for _ in range(40)), *[None] * 50],
+    }[kind]
     rows = [(i, f"t{j % 40}") for j, i in enumerate(ids)]
-    got = order_minhash.with_next(spark.createDataFrame(rows, "doc_id long, text string"), ["text"], parts=7).collect()
-    order = sorted(rows, key=lambda x: (x[0] is None, -(x[0] or 0), x[1]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = order_minhash.with_next(docs, ["text"], parts=7).collect()
+    order = [(x.doc_id, x.text) for x in docs.orderBy(F.desc_nulls_last("doc_id"), F.xxhash64(F.lit(7), "text"), "text").collect()]
     want = sorted((str(a[0]), a[1], b[1]) for a, b in zip(order, order[1:] + order[:1]))
     assert sorted((str(x.doc_id), x.text, x.next.text) for x in got) == want
 
