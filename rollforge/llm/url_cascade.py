@@ -15,13 +15,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, materialize
 
 #: Filters of so many bytes in all are constants of an expression; beyond it a shard is made for each SHARD_KEYS listed keys.
 LITERAL_BYTES, SHARD_KEYS = 1 << 20, 256
+#: Keys between levels are written in so many files at least, and one more for each FILE_KEYS.
+FILES, FILE_KEYS = 8, 500_000
 #: Fixed values: (verdict, host, path) in the order of the contract.
 RULES = (
     ("block", "com", "/en/"),
@@ -126,7 +128,7 @@ def build_cascade(universe: DataFrame, *, first_rate: float = 1 / 64, rate: floa
     first = min(rate, max(first_rate / 1024, listed * math.sqrt(first_rate) / max(1, others))) if others else rate
     small = filter_bytes(listed, first, rate, others) <= literal_bytes
     out = Cascade(1 if small else 1 << math.ceil(math.log2(max(2, listed / shard_keys))))
-    side, count = True, listed
+    side, count, rows = True, listed, listed + others
     held = universe.select("key", "listed", out.shard(F.col("key")).alias("shard"))
     while count:
         i = len(out.sizes)
@@ -135,7 +137,7 @@ def build_cascade(universe: DataFrame, *, first_rate: float = 1 / 64, rate: floa
         out.sizes.append((n, k))
         if out.shards == 1:
             bits = [0] * n
-            for row in words.toLocalIterator():  # LITERAL_BYTES in all
+            for row in words.collect():  # LITERAL_BYTES in all, in one job
                 bits[row.word] = row.bits
             out.constants.append(F.split(F.lit(",".join(map(str, bits))), ",").cast("array<bigint>"))  # folded to a constant by the optimizer
             tested = held
@@ -146,9 +148,10 @@ def build_cascade(universe: DataFrame, *, first_rate: float = 1 / 64, rate: floa
             out.table = filters if out.table is None else out.table.join(filters, "shard", "left")  # a shard without keys in a level has none behind it
             tested = held.join(filters, "shard", "left")
         # What this level lets through of the other side is what the next level must hold; the rest is settled.
-        held = materialize(tested.where((F.col("listed") == side) | out.passes(F.col("key"), i)).select("key", "listed", "shard"), f"cascade{i}")
-        side = not side
-        count = held.where(F.col("listed") == side).count()
+        side, seen = not side, Observation()
+        tested = tested.where((F.col("listed") != side) | out.passes(F.col("key"), i)).select("key", "listed", "shard").coalesce(max(FILES, -(-rows // FILE_KEYS)))
+        held = materialize(tested.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("listed") == side).alias("wrong")), f"cascade{i}")
+        rows, count = seen.get["rows"], seen.get["wrong"]
     if out.table is not None:
         out.table = materialize(out.table, "filters")
     return out
