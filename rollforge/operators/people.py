@@ -19,6 +19,15 @@ EN_RELATIONS = (("Father", "father_name"), ("Mother", "mother_name"), ("Husband"
 TA_RELATIONS = (("தந்தை", "father_name"), ("தாய்", "mother_name"), ("கணவர்", "husband_name"))
 TA_OTHER, TA_AGE, TA_GENDER, TA_MALE, TA_FEMALE = "மற்றவர்", "வயது", "பாலினம்", "ஆண்", "பெண்"
 
+#: The patterns of a line's value, in English, in Tamil and in the older layout of three people side by side.
+EN_VALUE = {label: rf"{label}{S}*[:=]{S}*(.+)" for label in ("Name", "Other")} | {label: rf"{label}{S}+Name{S}*[:=]{S}*(.+)" for label, _ in EN_RELATIONS}
+EN_HOUSE, EN_AGE, EN_GENDER = rf"House{S}+Number{S}*[:=]{S}*([A-Za-z0-9/().,-]+)", rf"Age{S}*[:+]{S}*({D}+)", rf"(?iu)Gender{S}*[:+]{S}*(Male|Female)"
+TA_PLAIN_NAME, TA_OTHER_NAME, TA_HOUSE = rf"{TA_NAME}{S}*(?:[:=])?{S}*(.+)$", rf"{TA_OTHER}{S}*[:=]{S}*(.+)$", rf"வீட்டு{S}*எண்{S}*[:=]{S}*(.+)$"
+TA_RELATED = {label: rf"{label}.*?{TA_NAME}{S}*[:=]{S}*(.+)$" for label, _ in TA_RELATIONS}
+TA_AGES, TA_GENDERS, TA_ID = rf"{TA_AGE}{S}*[:+]{S}*({D}+)", rf"{TA_GENDER}{S}*[:+]{S}*({TA_MALE}|{TA_FEMALE})", r"\A[A-Z]{2,4}[0-9]{6,8}\z"
+ROW_BREAK, ROW_NAME, ROW_HOUSE = rf"\n{S}*\n", rf"Name{S}*[:=]{S}*([^:]+?)(?={S}+Name|$)", rf"House Number{S}*[:=]{S}*([A-Za-z0-9/]+)"
+ROW_RELATION = rf"(Father Name|Mother Name|Husband Name|Other){S}*[:=]{S}*([^:]+?)(?={S}+(Father|Mother|Husband|Other){S}+Name|$)"
+
 _CLAIM = "struct<field:string,value:string,more:string>"
 
 
@@ -48,13 +57,13 @@ def claims_en(lines: Column) -> Column:
     """A line belongs to the first label that it begins with (or holds), even if its value can't be read."""
 
     def claim(x: Column) -> Column:
-        out = F.when(x.startswith(EN_NAME), _claim("name", strip(group(x, rf"Name{S}*[:=]{S}*(.+)"))))
+        out = F.when(x.startswith(EN_NAME), _claim("name", strip(group(x, EN_VALUE[EN_NAME]))))
         for label, field in EN_RELATIONS:
-            out = out.when(x.startswith(label), _claim(field, strip(group(x, rf"{label}{S}+Name{S}*[:=]{S}*(.+)"))))
-        out = out.when(x.startswith("Other"), _claim("other_name", strip(group(x, rf"Other{S}*[:=]{S}*(.+)"))))
-        out = out.when(F.contains(x, F.lit("House Number")), _claim("house_no", group(x, rf"House{S}+Number{S}*[:=]{S}*([A-Za-z0-9/().,-]+)")))
-        gender = F.upper(F.substring(group(x, rf"(?iu)Gender{S}*[:+]{S}*(Male|Female)"), 1, 1))
-        out = out.when(F.contains(x, F.lit("Age")) & F.contains(x, F.lit("Gender")), _claim("age", group(x, rf"Age{S}*[:+]{S}*({D}+)"), gender))
+            out = out.when(x.startswith(label), _claim(field, strip(group(x, EN_VALUE[label]))))
+        out = out.when(x.startswith("Other"), _claim("other_name", strip(group(x, EN_VALUE["Other"]))))
+        out = out.when(F.contains(x, F.lit("House Number")), _claim("house_no", group(x, EN_HOUSE)))
+        gender = F.upper(F.substring(group(x, EN_GENDER), 1, 1))
+        out = out.when(F.contains(x, F.lit("Age")) & F.contains(x, F.lit("Gender")), _claim("age", group(x, EN_AGE), gender))
         token = _only_alnum(x)
         good = (F.length(token) >= 8) & token.rlike("[0-9]") & ~token.rlike("[a-z]")
         return out.otherwise(_claim("id", F.when(good, token)))
@@ -65,22 +74,21 @@ def claims_en(lines: Column) -> Column:
 def claims_ta(lines: Column) -> Column:
     """A label without a readable value leaves the line to the labels behind it; the first line with a plain name is the name."""
     relations = "|".join([*(r for r, _ in TA_RELATIONS), TA_OTHER])
-    name = rf"{TA_NAME}{S}*(?:[:=])?{S}*(.+)$"
-    plain = F.transform(lines, lambda x: found(x, name) & ~found(x, relations))
+    plain = F.transform(lines, lambda x: found(x, TA_PLAIN_NAME) & ~found(x, relations))
 
     def claim(first: Column, x: Column, i: Column) -> Column:
-        out = F.when(i + 1 == first, _claim("name", strip(group(x, name))))
+        out = F.when(i + 1 == first, _claim("name", strip(group(x, TA_PLAIN_NAME))))
         for label, field in TA_RELATIONS:
-            p = rf"{label}.*?{TA_NAME}{S}*[:=]{S}*(.+)$"
+            p = TA_RELATED[label]
             out = out.when(found(x, p), _claim(field, strip(group(x, p))))
-        for field, p in (("other_name", rf"{TA_OTHER}{S}*[:=]{S}*(.+)$"), ("house_no", rf"வீட்டு{S}*எண்{S}*[:=]{S}*(.+)$")):
+        for field, p in (("other_name", TA_OTHER_NAME), ("house_no", TA_HOUSE)):
             out = out.when(found(x, p), _claim(field, strip(group(x, p))))
-        said = group(x, rf"{TA_GENDER}{S}*[:+]{S}*({TA_MALE}|{TA_FEMALE})")
+        said = group(x, TA_GENDERS)
         gender = F.when(said == TA_MALE, "M").when(said == TA_FEMALE, "F")
-        out = out.when(F.contains(x, F.lit(TA_AGE)) & F.contains(x, F.lit(TA_GENDER)), _claim("age", group(x, rf"{TA_AGE}{S}*[:+]{S}*({D}+)"), gender))
+        out = out.when(F.contains(x, F.lit(TA_AGE)) & F.contains(x, F.lit(TA_GENDER)), _claim("age", group(x, TA_AGES), gender))
         raw = _only_alnum(x)
         token = normalize_id(raw)
-        return out.otherwise(_claim("id", F.when((F.length(raw) >= 8) & token.rlike(r"\A[A-Z]{2,4}[0-9]{6,8}\z"), token)))
+        return out.otherwise(_claim("id", F.when((F.length(raw) >= 8) & token.rlike(TA_ID), token)))
 
     return let(F.array_position(plain, True), lambda first: F.transform(lines, lambda x, i: claim(first, x, i)))
 
@@ -123,11 +131,10 @@ def parse_table_rows(text: Column) -> Column:
 
     def row(lines: Column) -> Column:
         every = lambda i, p, g=1: F.regexp_extract_all(F.get(lines, F.lit(i)), F.lit("(?d)" + p), F.lit(g))
-        names = F.transform(every(0, rf"Name{S}*[:=]{S}*([^:]+?)(?={S}+Name|$)"), strip)
-        relation = rf"(Father Name|Mother Name|Husband Name|Other){S}*[:=]{S}*([^:]+?)(?={S}+(Father|Mother|Husband|Other){S}+Name|$)"
-        labels, values = every(1, relation, 1), F.transform(every(1, relation, 2), strip)
-        houses = every(2, rf"House Number{S}*[:=]{S}*([A-Za-z0-9/]+)")
-        ages, genders = every(3, rf"Age{S}*[:+]{S}*({D}+)"), every(3, rf"(?iu)Gender{S}*[:+]{S}*(Male|Female)")
+        names = F.transform(every(0, ROW_NAME), strip)
+        labels, values = every(1, ROW_RELATION, 1), F.transform(every(1, ROW_RELATION, 2), strip)
+        houses = every(2, ROW_HOUSE)
+        ages, genders = every(3, EN_AGE), every(3, EN_GENDER)
 
         def one(i: Column) -> Column:
             related = lambda label: F.when(F.get(labels, i) == label, F.get(values, i))
@@ -144,5 +151,5 @@ def parse_table_rows(text: Column) -> Column:
 
         return F.transform(F.sequence(F.lit(0), F.lit(2)), one)
 
-    rows = F.transform(F.split(strip(text), rf"\n{S}*\n"), lambda r: clean_lines(split_lines(r)))
+    rows = F.transform(F.split(strip(text), ROW_BREAK), lambda r: clean_lines(split_lines(r)))
     return F.flatten(F.transform(F.filter(rows, lambda lines: F.size(lines) >= 4), row)).cast(people)

@@ -38,14 +38,25 @@ def parse_pages(pages: DataFrame, *, page_limit: int | None = None, block_limit:
     return parse_blocks(held, tamil=is_tamil(F.col("source_image"))).select(*PERSON, *PAGE_KEYS, "block_pos")
 
 
-def parse_and_number(pages: DataFrame, *, block_limit: int | None = None) -> DataFrame:
-    """parse_pages with serial_no, which counts a document's records from 1 by page_no, source_image and block_pos (pages that share both: by their text).
+#: Columns of a written table of pages: a unique number, and how many blocks the page holds.
+POSITION, N_BLOCKS = "position", "n_blocks"
+
 
-    A page's records follow the records of the pages before it, so a window over pages carries their numbers of blocks: each page moves once, in one piece, to
-    its document's task, and is read once, so pages may come straight from a provider that never gives the same text twice. Records aren't moved."""
-    held = _with_blocks(pages, block_limit)
-    order = W.partitionBy("doc_id").orderBy("page_no", "source_image", "__blocks").rowsBetween(W.unboundedPreceding, -1)
-    held = held.select(*PAGE_KEYS, "__blocks").withColumn("__before", F.coalesce(F.sum(F.size("__blocks")).over(order), F.lit(0)))
+def parse_and_number(pages: DataFrame, *, block_limit: int | None = None) -> DataFrame:
+    """parse_pages with serial_no, which counts a document's records from 1 by page_no, source_image and block_pos (pages that share both: by their position, or their text).
+
+    A page's records follow the records of the pages before it, so a window over pages carries their numbers of blocks. Of a written table of pages (with position and
+    n_blocks) the window sees only keys and numbers, and the offset is joined back by position: no document's texts meet in a task, however many pages it has. Other pages move once, in
+    one piece, to their document's task, and are read once, so they may come straight from a provider that never gives the same text twice. Records aren't moved."""
+    if POSITION in pages.columns and N_BLOCKS in pages.columns:
+        n = F.col(N_BLOCKS) if block_limit is None else F.least(F.col(N_BLOCKS), F.lit(max(block_limit, 1)))
+        order = W.partitionBy("doc_id").orderBy("page_no", "source_image", POSITION).rowsBetween(W.unboundedPreceding, -1)
+        before = pages.select(F.col(POSITION), F.coalesce(F.sum(n).over(order), F.lit(0)).alias("__before"))
+        held = _with_blocks(pages.join(before, POSITION), block_limit)
+    else:
+        held = _with_blocks(pages, block_limit).select(*PAGE_KEYS, "__blocks")
+        order = W.partitionBy("doc_id").orderBy("page_no", "source_image", "__blocks").rowsBetween(W.unboundedPreceding, -1)
+        held = held.withColumn("__before", F.coalesce(F.sum(F.size("__blocks")).over(order), F.lit(0)))
     held = held.select(*PAGE_KEYS, "__before", F.posexplode("__blocks").alias("block_pos", "block"))
     held = held.withColumns({"block_pos": F.col("block_pos").cast("bigint"), "serial_no": (F.col("__before") + F.col("block_pos") + 1).cast("bigint")})
     return parse_blocks(held, tamil=is_tamil(F.col("source_image"))).select(*PERSON, *PAGE_KEYS, "block_pos", "serial_no")

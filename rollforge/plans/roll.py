@@ -10,7 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.records import in_order, parse_and_number
+from ..operators.blocks import split_blocks
+from ..operators.records import N_BLOCKS, POSITION, in_order, parse_and_number
 from ..sources import readers, sinks
 from ..sources.ocr import DPI, OcrProvider, PageRasterizer, page_rows, rasterize, read_pages
 
@@ -48,7 +49,8 @@ def pages_of_pdfs(spark: SparkSession, config: Config, rasterizer: PageRasterize
 
 
 def write_pages(pages: DataFrame, path: str) -> tuple[DataFrame, dict]:
-    """Write the table of pages; the table, and how many pages there are, are blank, failed or without a header."""
+    """Write the table of pages, each with its position (a unique number) and its number of blocks; the table, and how many pages there are, are blank, failed or without a header."""
+    pages = pages.withColumns({POSITION: F.monotonically_increasing_id(), N_BLOCKS: F.size(split_blocks(F.col("ocr_text")))})
     seen = Observation("pages")
     none = F.col("error").isNull()
     counts = {"pages": F.lit(True), "failed_pages": ~none, "blank_pages": none & (F.coalesce("ocr_text", F.lit("")) == ""), "pages_without_header": none & (F.coalesce("header_text", F.lit("")) == "")}

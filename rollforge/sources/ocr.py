@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean_lines, detect_language, split_lines, strip
 from ..operators.blocks import MARKER
+from ..operators.records import N_BLOCKS, POSITION
 from ..shipping import ship
 from . import raster
 
@@ -201,7 +202,8 @@ def page_name(doc_id="doc_id", page_no="page_no") -> F.Column:
 
 def page_rows(read: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(texts with the names that the text scan gives, failed pages) of a table of read pages."""
-    good = read.where("error is null and ocr_text is not null and ocr_text <> ''").select(page_name().alias("name"), "ocr_text", "doc_id", "page_no", "header_text")
+    good = read.where("error is null and ocr_text is not null and ocr_text <> ''")
+    good = good.select(page_name().alias("name"), "ocr_text", "doc_id", "page_no", "header_text", *[c for c in (POSITION, N_BLOCKS) if c in read.columns])
     return good, read.where("error is not null").select("doc_id", "page_no", "error")
 
 

@@ -75,15 +75,15 @@ def scan_headers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def page_text(texts: DataFrame, headers: DataFrame | None = None, *, strict: bool = False) -> DataFrame:
-    """PAGE_TEXT of texts (name, ocr_text, doc_id, page_no), with the fields of each page's header."""
-    from ..operators.records import attach_headers
+    """PAGE_TEXT of texts (name, ocr_text, doc_id, page_no), with the fields of each page's header, and position and n_blocks if texts have them."""
+    from ..operators.records import N_BLOCKS, POSITION, attach_headers
 
     if headers is None:
         texts = texts.withColumn("header_text", F.lit(None).cast("string")) if "header_text" not in texts.columns else texts
     else:
         texts = attach_headers(texts, headers, strict=strict)
     held = texts.withColumn("h", parse_any_header(F.col("header_text"), detect_language(F.col("name")) == "tam+eng"))
-    return held.select(F.col("name").alias("source_image"), "ocr_text", "doc_id", "h.assembly", "h.part_no", "h.street", "page_no")
+    return held.select(F.col("name").alias("source_image"), "ocr_text", "doc_id", "h.assembly", "h.part_no", "h.street", "page_no", *[c for c in (POSITION, N_BLOCKS) if c in texts.columns])
 
 
 def load_page_json(spark: SparkSession, path: str, *, multi_line: bool = True) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rollforge import cli
 from rollforge.functions import geometry
 from rollforge.operators import diff, records, viewer
-from rollforge.plans.roll import Config, records_of_pdfs
+from rollforge.plans.roll import Config, records_of_pdfs, write_pages
 from rollforge.sources import ocr, raster, readers, sinks
 from rollforge.streaming import landing
 
@@ -167,11 +167,29 @@ def test_pages_are_read_once(spark, tmp_path):
     assert sorted(r.serial_no for r in direct.collect()) == [1, 2, 3, 4]
     by_table, failed, _ = records_of_pdfs(spark, Config(str(tmp_path), str(tmp_path / "out"), keep_images=True), ocr.FakeRasterizer(), Random())
     assert plan_of(by_table).count("MapInPandas") == plan_of(failed).count("MapInPandas") == 0
+    window = next(line for line in plan_of(by_table).splitlines() if " Window " in line)
+    assert "ocr_text" not in window and "blocks#" not in window.replace("n_blocks#", "")
     assert sorted(map(str, by_table.collect())) == sorted(map(str, by_table.collect()))
     assert sorted(r.serial_no for r in by_table.collect()) == [1, 2, 3, 4]
     assert spark.read.parquet(str(tmp_path / "out/pages")).where("image is not null").count() == 3
 
 
+def test_position_or_window(spark, tmp_path):
+    """A written table of pages gives the same numbers as pages in flight, with pages of the same name, limits and null keys."""
+    rows = [page("d", 10, "ten"), page("d", 9, "nine", "also nine"), page("d", 9, "again"), page("e", 1, "one"), (None, "Name : N\nVOTER_END", None, None, None, None, None)]
+    pages = spark.createDataFrame(rows, PAGES).coalesce(1).withColumns({"header_text": F.lit("h"), "error": F.lit(None).cast("string")})
+    table, counts = write_pages(pages, str(tmp_path / "pages"))
+    assert counts["pages"] == 5
+    for limit in (None, 1):
+        a = {(r.doc_id, r.page_no, r.name): r.serial_no for r in records.parse_and_number(table, block_limit=limit).collect()}
+        b = {(r.doc_id, r.page_no, r.name): r.serial_no for r in records.parse_and_number(pages, block_limit=limit).collect()}
+        assert set(a) == set(b)
+        for doc in ("d", "e", None):
+            n = sum(k[0] == doc for k in a)
+            assert sorted(v for k, v in a.items() if k[0] == doc) == sorted(v for k, v in b.items() if k[0] == doc) == list(range(1, n + 1))
+        assert a["d", 10, "ten"] == b["d", 10, "ten"] == (4 if limit is None else 3)
+
+
 def test_boxes(spark):
     class Cut(ocr.FakeOcr):
         def boxes(self, image):
