@@ -41,7 +41,7 @@ _ONE = (1 << 31) - 1
 #: Chunks of more characters get their lattice one by one.
 LONG = 48
 #: Arcs that are kept from batch to batch (20 bytes each), and characters in a batch.
-KEEP_ARCS, BATCH_CHARS = 3_000_000, 800_000
+KEEP_ARCS, BATCH_CHARS = 6_000_000, 800_000
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -236,20 +236,24 @@ class Lattices:
         for p in np.flatnonzero(piece[:, 0] < 0):
             piece[p, 0] = self._fallback(text[p])
             weight[p, 0] = math.exp(model.floor)
-        # Backward sums, by the distance to the chunk's end; mass[slot], with a slot of 1 behind each chunk.
-        slot = np.arange(n) + np.repeat(np.arange(len(words)), sizes)
-        mass = np.ones(n + len(words) + width + 1)
-        steps = np.arange(1, width + 1)
-        order = np.argsort(left.astype(np.uint8), kind="stable")
-        bounds = np.searchsorted(left[order], np.arange(1, int(left.max()) + 2))
-        for d in range(1, len(bounds)):
-            p = order[bounds[d - 1] : bounds[d]]
-            w = min(d, width)
-            mass[slot[p]] = (weight[p, :w] * mass[slot[p][:, None] + steps[:w]]).sum(1)
         rows, cols = np.nonzero(piece >= 0)
-        share = weight[rows, cols] * mass[slot[rows] + cols + 1] / mass[slot[rows]]
+        own = weight[rows, cols]
         counts = np.bincount(rows, minlength=n)
         ahead = np.cumsum(counts) - counts
+        # Backward sums over arcs, by the distance to the chunk's end; mass[slot], with a slot of 1 behind each chunk.
+        slot = np.arange(n) + np.repeat(np.arange(len(words)), sizes)
+        mass = np.ones(n + len(words) + width + 1)
+        goal = slot[rows] + cols + 1
+        near = left.astype(np.uint8)
+        order, by = np.argsort(near, kind="stable"), np.argsort(near[rows], kind="stable")
+        own_by, goal_by, nodes = own[by], goal[by], slot[order]
+        begin = np.cumsum(counts[order]) - counts[order]
+        begin = np.append(begin, len(rows))
+        bounds = np.searchsorted(near[order], np.arange(1, int(left.max()) + 2)).tolist()
+        for a, b in zip(bounds, bounds[1:]):
+            lo, hi = begin[a], begin[b]
+            mass[nodes[a:b]] = np.add.reduceat(own_by[lo:hi] * mass[goal_by[lo:hi]], begin[a:b] - lo)
+        share = own * mass[goal] / mass[slot[rows]]
         rank = np.arange(len(rows)) - ahead[rows]
         total = share.copy()
         for r in range(1, int(rank.max()) + 1):  # sums within each node, the same in any batch
