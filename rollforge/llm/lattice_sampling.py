@@ -40,7 +40,7 @@ _G = np.uint64(0x9E3779B97F4A7C15)
 _ONE = (1 << 31) - 1
 #: Chunks of more characters get their lattice one by one.
 LONG = 48
-#: Arcs that are kept from batch to batch (20 bytes each), and characters in a batch.
+#: Arcs that are kept from batch to batch (28 bytes each), and characters in a batch.
 KEEP_ARCS, BATCH_CHARS = 6_000_000, 800_000
 
 
@@ -77,6 +77,7 @@ class Model:
         self.texts = [p.replace(SPACE, " ") for p in self.pieces]
         for b, i in self.byte.items():
             self.texts[i] = chr(b) if b < 128 else chr(0xDC00 + b)  # as surrogateescape has it
+        self.text_of = np.array(self.texts, object)
         scores = np.array([sp.get_score(i) for i in range(n)])
         normal = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
         if len(normal) > 1 and np.median(np.diff(np.sort(scores[normal]))) == 1:  # ranks: BPE
@@ -117,8 +118,8 @@ class Model:
         return SPACE + text.replace(" ", SPACE) if text else ""
 
     def decode(self, ids) -> str:
-        """The text of ids: pieces joined, bytes put together, U+2581 to spaces, without the one in front."""
-        text = "".join(map(self.texts.__getitem__, ids))
+        """The text of ids (an array or a list): pieces joined, bytes put together, U+2581 to spaces, without the one in front."""
+        text = "".join(self.text_of[np.asarray(ids, np.int64)].tolist())
         if not text.isascii() and _ESCAPED.search(text):
             text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
@@ -132,7 +133,7 @@ class Lattices:
     """The lattices of chunks: a node for each character, its arcs in order of length.
 
     first[node]: its first arc. Of an arc: cut, the upper end of its share of 2 ** 31 - 1; target, a node or -1 at the
-    chunk's end; piece; logp given the node. Pieces from the vocabulary's size on stand for characters by their bytes."""
+    chunk's end; piece; logp given the node, and rest, the logarithm of what the node's other arcs have. Pieces from the vocabulary's size on stand for characters by their bytes."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -140,7 +141,7 @@ class Lattices:
         self.nodes = self.arcs = 0
         self.first = np.empty(1 << 21, np.int32)
         self.cut, self.target, self.piece = (np.empty(KEEP_ARCS + (1 << 19), np.int32) for _ in range(3))
-        self.logp = np.empty(len(self.cut))
+        self.logp, self.rest = np.empty(len(self.cut)), np.empty(len(self.cut))
         self.other: dict[str, int] = {}
         self.others: list[list[int]] = []
         self.kept = (0, 0)
@@ -151,13 +152,15 @@ class Lattices:
             self.first = _longer(self.first, max(2 * len(self.first), self.nodes + nodes))
         if self.arcs + arcs > len(self.cut):
             n = max(len(self.cut) * 3 // 2, self.arcs + arcs)
-            self.cut, self.target, self.piece, self.logp = (_longer(x, n) for x in (self.cut, self.target, self.piece, self.logp))
+            self.cut, self.target, self.piece, self.logp, self.rest = (_longer(x, n) for x in (self.cut, self.target, self.piece, self.logp, self.rest))
 
     def _append(self, counts, cut, target, piece, logp) -> None:
         n, m = len(counts), len(cut)
         self._room(n, m)
         self.first[self.nodes : self.nodes + n] = self.arcs + np.cumsum(counts) - counts
-        for own, new in ((self.cut, cut), (self.target, target), (self.piece, piece), (self.logp, logp)):
+        with np.errstate(divide="ignore"):
+            rest = np.log(-np.expm1(np.minimum(logp, 0.0)))
+        for own, new in ((self.cut, cut), (self.target, target), (self.piece, piece), (self.logp, logp), (self.rest, rest)):
             own[self.arcs : self.arcs + m] = new
         self.nodes += n
         self.arcs += m
@@ -178,7 +181,7 @@ class Lattices:
         self.nodes, self.arcs = nodes, arcs
         if len(self.cut) > 2 * KEEP_ARCS:
             n = KEEP_ARCS + (1 << 19)
-            self.cut, self.target, self.piece, self.logp = (x[:n].copy() for x in (self.cut, self.target, self.piece, self.logp))
+            self.cut, self.target, self.piece, self.logp, self.rest = (x[:n].copy() for x in (self.cut, self.target, self.piece, self.logp, self.rest))
 
     def _fallback(self, char: str) -> int:
         if char not in self.other:
@@ -356,8 +359,8 @@ def _cut_up(search: _Search, lattices: Lattices, j0: int, prefix: float, exclude
         lp = lattices.logp[tail[a:b]]
         cum = before + np.cumsum(lp)
         ahead = np.concatenate([[before], cum[:-1]])
+        rest = lattices.rest[tail[a:b]]
         with np.errstate(divide="ignore"):
-            rest = np.log(-np.expm1(np.minimum(lp, 0.0)))
             if a == 0 and excluded:
                 gone = sum(math.exp(lattices.logp[x]) for x in excluded) + math.exp(lp[0])
                 others = lattices_rest(lattices, tail[0], (*excluded, int(tail[0])))
@@ -572,7 +575,7 @@ def _batch(lattices: Lattices, doc_ids, texts, k, seed) -> pa.RecordBatch:
     lattices.settle()
     decode = lattices.model.decode
     rows = [(d, r + 1, ids, lp, g, q) for d, found in zip(doc_ids, got, strict=True) for r, (ids, lp, g, q) in enumerate(found)]
-    back = [decode(ids.tolist()) == text for text, found in zip(texts, got, strict=True) for ids, *_ in found]
+    back = [decode(ids) == text for text, found in zip(texts, got, strict=True) for ids, *_ in found]
     flat = np.concatenate([x[2] for x in rows]) if rows else np.empty(0, np.int32)
     sizes = np.array([len(x[2]) for x in rows], np.int32)
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat.astype(np.int32)))
