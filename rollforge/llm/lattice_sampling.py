@@ -35,7 +35,6 @@ from .common import hold, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-_ESCAPED = re.compile("[\udc80-\udcff]")
 _G = np.uint64(0x9E3779B97F4A7C15)
 _ONE = (1 << 31) - 1
 #: Chunks of more characters get their lattice one by one.
@@ -119,9 +118,12 @@ class Model:
 
     def decode(self, ids) -> str:
         """The text of ids (an array or a list): pieces joined, bytes put together, U+2581 to spaces, without the one in front."""
-        text = "".join(self.text_of[np.asarray(ids, np.int64)].tolist())
-        if not text.isascii() and _ESCAPED.search(text):
-            text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
+        text = "".join(self.text_of[ids if isinstance(ids, np.ndarray) else np.array(ids, np.int64)].tolist())
+        if not text.isascii():
+            try:
+                text.encode()
+            except UnicodeEncodeError:  # bytes
+                text = text.encode("utf-8", "surrogateescape").decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
     def encode(self, text: str) -> list[int]:
