@@ -147,7 +147,8 @@ class Lattices:
         self.other: dict[str, int] = {}
         self.others: list[list[int]] = []
         self.kept = (0, 0)
-        self.fresh: list[str] = []  # words that this batch added
+        self.extra: dict[str, int] = {}  # words of this batch alone, once KEEP_ARCS are held
+        self.into = self.start
 
     def _room(self, nodes: int, arcs: int) -> None:
         if self.nodes + nodes > len(self.first):
@@ -170,16 +171,16 @@ class Lattices:
     def settle(self) -> None:
         """Forget what doesn't fit into KEEP_ARCS, after a batch."""
         if self.arcs <= KEEP_ARCS:
-            self.fresh = []
             return
         if not self.kept[0]:  # what the first batches brought stays, up to KEEP_ARCS
             nodes = int(np.searchsorted(self.first[: self.nodes], np.int32(KEEP_ARCS)))
             nodes = max((s for s in self.start.values() if s < nodes), default=0)
             self.kept = (nodes, int(self.first[nodes]))
+            for w in [w for w, s in self.start.items() if s >= nodes]:
+                del self.start[w]
+            self.into = self.extra
         nodes, arcs = self.kept
-        for w in [w for w in self.fresh if self.start[w] >= nodes]:
-            del self.start[w]
-        self.fresh = []
+        self.extra.clear()
         self.nodes, self.arcs = nodes, arcs
         if len(self.cut) > 2 * KEEP_ARCS:
             n = KEEP_ARCS + (1 << 19)
@@ -202,15 +203,15 @@ class Lattices:
         missing = np.flatnonzero(out < 0).tolist()
         if not missing:
             return out
-        new = list(dict.fromkeys(words[i] for i in missing))
-        self.fresh += new
+        into = self.into
+        new = [w for w in dict.fromkeys(words[i] for i in missing) if w not in into]
         short = [w for w in new if len(w) <= LONG]
         for i in range(0, len(short), 1024):
             self._add(short[i : i + 1024])
         for w in new:
             if len(w) > LONG:
                 self._add_long(w)
-        out[missing] = [get[words[i]] for i in missing]
+        out[missing] = [into[words[i]] for i in missing]
         return out
 
     def _add(self, words: list[str]) -> None:
@@ -270,7 +271,7 @@ class Lattices:
         first = self.nodes
         self._append(counts, cut, target, piece[rows, cols], np.log(share))
         for w, s in zip(words, (ends - sizes + first).tolist(), strict=True):
-            self.start[w] = s
+            self.into[w] = s
 
     def _add_long(self, key: str) -> None:
         word = SPACE + key
@@ -298,7 +299,7 @@ class Lattices:
                 logp.append(lp)
             cut[-1] = _ONE
             counts.append(len(own))
-        self.start[key] = self.nodes
+        self.into[key] = self.nodes
         self._append(np.array(counts), np.array(cut), np.array(target), np.array(piece), np.array(logp))
 
     def walk(self, at: np.ndarray, start: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
