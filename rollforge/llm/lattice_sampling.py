@@ -39,8 +39,10 @@ _G = np.uint64(0x9E3779B97F4A7C15)
 _ONE = (1 << 31) - 1
 #: Chunks of more characters get their lattice one by one.
 LONG = 48
-#: Arcs that are kept from batch to batch (28 bytes each), and characters in a batch.
-KEEP_ARCS, BATCH_CHARS = 6_000_000, 800_000
+#: Arcs that are kept from batch to batch (28 bytes each), room for a batch's own, and characters in a batch.
+KEEP_ARCS, SPARE_ARCS, BATCH_CHARS = 3_000_000, 1 << 20, 800_000
+#: Hashes of words that aren't kept, a byte each (a power of 2).
+MET = 1 << 23
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -56,8 +58,16 @@ def _uniform(seed: int, at) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
 
+def _uniform_one(seed: int, at: int) -> float:
+    """_uniform of a single place."""
+    x = (at * 0x9E3779B97F4A7C15 + seed + 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & 0xFFFFFFFFFFFFFFFF
+    return (((x ^ (x >> 31)) >> 11) + 0.5) / (1 << 53)
+
+
 def _longer(x: np.ndarray, n: int) -> np.ndarray:
-    out = np.empty(n, x.dtype)
+    out = np.empty((n, *x.shape[1:]), x.dtype)
     out[: len(x)] = x
     return out
 
@@ -98,6 +108,9 @@ class Model:
         held.sort()
         self.hashes = np.array([h for h, _ in held], np.uint64)
         self.hash_ids = np.array([i for _, i in held], np.int32)
+        # Where each range of 2 ** 47 hashes begins, and a last one above all, so that a hash is found in a step or two.
+        self.begin = np.searchsorted(self.hashes, np.arange(1 << 17, dtype=np.uint64) << np.uint64(47)).astype(np.int32)
+        self.bounded = np.append(self.hashes, np.uint64(0xFFFFFFFFFFFFFFFF))
         # What may begin a piece (1), or be one (2): most substrings are ruled out here.
         self.filter = np.zeros(1 << 21, np.uint8)
         begin = {p[:i] for p in self.ids if len(p) <= self.longest for i in range(1, len(p))}
@@ -109,6 +122,15 @@ class Model:
         powers = np.cumprod(np.full(len(codes), self.base), dtype=np.uint64) * np.uint64(pow(int(self.base), -1, 1 << 64))
         return int((codes * powers).sum(dtype=np.uint64)) & 0xFFFFFFFFFFFFFFFF
 
+    def place(self, h: np.ndarray) -> np.ndarray:
+        """Places of the first hashes that aren't below h."""
+        k = self.begin[h >> np.uint64(47)]
+        low = np.flatnonzero(self.bounded[k] < h)
+        while len(low):
+            k[low] += 1
+            low = low[self.bounded[k[low]] < h[low]]
+        return k
+
     def fallback(self, char: str) -> list[int]:
         got = [self.byte.get(b) for b in char.encode("utf-8", "surrogatepass")]
         return [self.unknown] if None in got else got
@@ -142,20 +164,29 @@ class Lattices:
         self.start: dict[str, int] = {}
         self.nodes = self.arcs = 0
         self.first = np.empty(1 << 21, np.int32)
-        self.cut, self.target, self.piece = (np.empty(KEEP_ARCS + (1 << 19), np.int32) for _ in range(3))
-        self.logp, self.rest = np.empty(len(self.cut)), np.empty(len(self.cut))
+        n = KEEP_ARCS + SPARE_ARCS
+        self._own(np.empty((n, 2), np.int32), np.empty(n, np.int32), np.empty(n, np.complex128))
         self.other: dict[str, int] = {}
         self.others: list[list[int]] = []
-        self.kept = (0, 0)
-        self.extra: dict[str, int] = {}  # words of this batch alone, once KEEP_ARCS are held
+        self.extra: dict[str, int] = {}  # words of this batch alone, once KEEP_ARCS have been held
         self.into = self.start
+        self.kept = (0, 0)  # nodes and arcs of start's words, once KEEP_ARCS have been held
+        self.used = np.zeros(len(self.first), bool)  # first nodes of words that came again in a later batch
+        self.met: np.ndarray | None = None  # by hash, words that were forgotten or never kept
+
+    def _own(self, steps: np.ndarray, piece: np.ndarray, logs: np.ndarray) -> None:
+        """What is read together lies together: cut and target in steps, logp and rest in logs."""
+        self.steps, self.piece, self.logs = steps, piece, logs
+        self.cut, self.target, self.logp, self.rest = steps[:, 0], steps[:, 1], logs.real, logs.imag
 
     def _room(self, nodes: int, arcs: int) -> None:
         if self.nodes + nodes > len(self.first):
             self.first = _longer(self.first, max(2 * len(self.first), self.nodes + nodes))
+            if self.met is None:
+                self.used = np.append(self.used, np.zeros(len(self.first) - len(self.used), bool))
         if self.arcs + arcs > len(self.cut):
             n = max(len(self.cut) * 3 // 2, self.arcs + arcs)
-            self.cut, self.target, self.piece, self.logp, self.rest = (_longer(x, n) for x in (self.cut, self.target, self.piece, self.logp, self.rest))
+            self._own(*(_longer(x, n) for x in (self.steps, self.piece, self.logs)))
 
     def _append(self, counts, cut, target, piece, logp) -> None:
         n, m = len(counts), len(cut)
@@ -169,22 +200,55 @@ class Lattices:
         self.arcs += m
 
     def settle(self) -> None:
-        """Forget what doesn't fit into KEEP_ARCS, after a batch."""
-        if self.arcs <= KEEP_ARCS:
-            return
-        if not self.kept[0]:  # what the first batches brought stays, up to KEEP_ARCS
-            nodes = int(np.searchsorted(self.first[: self.nodes], np.int32(KEEP_ARCS)))
-            nodes = max((s for s in self.start.values() if s < nodes), default=0)
-            self.kept = (nodes, int(self.first[nodes]))
-            for w in [w for w, s in self.start.items() if s >= nodes]:
-                del self.start[w]
-            self.into = self.extra
-        nodes, arcs = self.kept
+        """Forget, after a batch, what isn't kept. All words are, until they fill KEEP_ARCS; then those that came in one batch only go, and their room is for words that come again."""
+        if self.met is None:
+            if self.arcs <= KEEP_ARCS:
+                return
+            self.met, self.into = np.zeros(MET, bool), self.extra
+            self._forget()
         self.extra.clear()
-        self.nodes, self.arcs = nodes, arcs
+        self.nodes, self.arcs = self.kept
         if len(self.cut) > 2 * KEEP_ARCS:
-            n = KEEP_ARCS + (1 << 19)
-            self.cut, self.target, self.piece, self.logp, self.rest = (x[:n].copy() for x in (self.cut, self.target, self.piece, self.logp, self.rest))
+            n = KEEP_ARCS + SPARE_ARCS
+            self._own(*(x[:n].copy() for x in (self.steps, self.piece, self.logs)))
+
+    def _forget(self) -> None:
+        """Keep the words that came again, up to KEEP_ARCS, and move their nodes and arcs together."""
+        words = list(self.start)
+        begin = np.fromiter(self.start.values(), np.int64, len(words))  # ascending: words are added in order
+        first = np.append(self.first[: self.nodes], np.int32(self.arcs))
+        n_nodes = np.diff(np.append(begin, self.nodes))
+        n_arcs = np.diff(first[np.append(begin, self.nodes)])
+        stay = self.used[begin]
+        stay &= np.cumsum(np.where(stay, n_arcs, 0)) <= KEEP_ARCS
+        node_shift = np.cumsum(np.where(stay, 0, n_nodes))
+        arc_shift = np.cumsum(np.where(stay, 0, n_arcs))
+        at = np.repeat(stay, n_nodes)
+        moved = self.first[: self.nodes][at] - np.repeat(arc_shift[stay], n_nodes[stay]).astype(np.int32)
+        self.first[: len(moved)] = moved
+        arcs, size = 0, 1 << 18
+        at, shift = np.repeat(stay, n_arcs), np.repeat(node_shift.astype(np.int32), n_arcs)
+        for lo in range(0, self.arcs, size):  # piece by piece, so that no second table is held
+            hi = min(lo + size, self.arcs)
+            held = at[lo:hi]
+            to = slice(arcs, arcs + int(held.sum()))
+            for x in (self.steps, self.piece, self.logs):
+                x[to] = x[lo:hi][held]
+            target = self.target[to]
+            target[target >= 0] -= shift[lo:hi][held][target >= 0]
+            arcs = to.stop
+        self.kept = (len(moved), arcs)
+        gone = [w for w, s in zip(words, stay.tolist(), strict=True) if not s]
+        self._again(gone)
+        self.start.clear()
+        self.start.update(zip([w for w, s in zip(words, stay.tolist(), strict=True) if s], (begin - node_shift)[stay].tolist(), strict=True))
+
+    def _again(self, words: list[str]) -> np.ndarray:
+        """Which words were met before (a few that weren't seem so); all are from now on."""
+        at = np.fromiter(map(hash, words), np.int64, len(words)) & (MET - 1)
+        before = self.met[at]
+        self.met[at] = True
+        return before
 
     def _fallback(self, char: str) -> int:
         if char not in self.other:
@@ -200,19 +264,30 @@ class Lattices:
         """First nodes of the chunks U+2581 + word; unknown ones are added."""
         get = self.start
         out = np.fromiter(map(get.get, words, repeat(-1)), np.int64, len(words))
+        if self.met is None:
+            self.used[out[out >= 0]] = True
         missing = np.flatnonzero(out < 0).tolist()
         if not missing:
             return out
-        into = self.into
-        new = [w for w in dict.fromkeys(words[i] for i in missing) if w not in into]
-        short = [w for w in new if len(w) <= LONG]
+        lost = [words[i] for i in missing]
+        new = [w for w in dict.fromkeys(lost) if w not in self.into]
+        if self.met is not None and not self.extra and self.arcs < KEEP_ARCS:
+            again = self._again(new).tolist()
+            self.into = self.start
+            self._add_all([w for w, a in zip(new, again, strict=True) if a])
+            self.into, self.kept = self.extra, (self.nodes, self.arcs)
+            new = [w for w, a in zip(new, again, strict=True) if not a]
+        self._add_all(new)
+        out[missing] = [self.into[w] if w in self.into else self.start[w] for w in lost]
+        return out
+
+    def _add_all(self, words: list[str]) -> None:
+        short = [w for w in words if len(w) <= LONG]
         for i in range(0, len(short), 1024):
             self._add(short[i : i + 1024])
-        for w in new:
+        for w in words:
             if len(w) > LONG:
                 self._add_long(w)
-        out[missing] = [into[words[i]] for i in missing]
-        return out
 
     def _add(self, words: list[str]) -> None:
         model, width = self.model, min(self.model.longest, max(map(len, words)) + 1)
@@ -234,7 +309,7 @@ class Lattices:
             near = seen >= 2
             p, h = at[near], h[near]
             at = at[(seen & 1).astype(bool)]
-            k = np.minimum(np.searchsorted(model.hashes, h), len(model.hashes) - 1)
+            k = np.minimum(model.place(h), len(model.hashes) - 1)
             same = model.hashes[k] == h
             p, got = p[same], model.hash_ids[k[same]]
             piece[p, size - 1] = got
@@ -338,12 +413,13 @@ def chunks(model: Model, text: str) -> list[str]:
 class _Search:
     """The state of one document's search."""
 
-    __slots__ = ("base", "chunks", "counts", "found", "heap", "key", "paths", "todo")
+    __slots__ = ("base", "chunks", "counts", "found", "heap", "key", "logs", "paths", "todo")
 
     def __init__(self, key: int, chunks: np.ndarray, base: int):
         self.key, self.chunks, self.base = key, chunks, base
         self.found: list[tuple[float, float]] = []  # perturbed, log-probability
         self.paths: list[np.ndarray] = []
+        self.logs: list[np.ndarray] = []  # of each path's arcs
         self.counts: list[np.ndarray] = []
         self.heap: list = []
 
@@ -358,30 +434,25 @@ def _cut_up(search: _Search, lattices: Lattices, j0: int, prefix: float, exclude
     want = k + 1 - r + 1
     seed = search.key ^ (r * 0x2545F4914F6CDD1D)
 
-    def values(a: int, b: int, before: float):
-        lp = lattices.logp[tail[a:b]]
+    logs = search.logs[-1][j0:]
+    a, before, best = 0, prefix, []
+    while a < len(tail):
+        lp = logs[a : a + 512].real
         cum = before + np.cumsum(lp)
         ahead = np.concatenate([[before], cum[:-1]])
-        rest = lattices.rest[tail[a:b]]
+        phi = ahead + logs[a : a + 512].imag
+        if a == 0 and excluded:
+            gone = sum(math.exp(lattices.logp[x]) for x in excluded) + math.exp(lp[0])
+            others = 1 - gone if 1 - gone > 1e-9 else lattices_rest(lattices, tail[0], (*excluded, int(tail[0])))
+            phi[0] = before + (math.log(others) if others > 0 else -math.inf)
+        u = _uniform(seed, np.arange(j0 + a, j0 + a + len(lp)))
         with np.errstate(divide="ignore"):
-            if a == 0 and excluded:
-                gone = sum(math.exp(lattices.logp[x]) for x in excluded) + math.exp(lp[0])
-                others = lattices_rest(lattices, tail[0], (*excluded, int(tail[0])))
-                rest[0] = math.log(1 - gone) if 1 - gone > 1e-9 else (math.log(others) if others > 0 else -math.inf)
-            phi = ahead + rest
-            u = _uniform(seed, np.arange(j0 + a, j0 + a + len(lp)))
             g = phi - np.log(np.exp(np.minimum(phi - top, 700)) - np.log(u))
         g[phi == -np.inf] = -np.inf
-        return g, ahead, float(cum[-1])
-
-    a, before, best = 0, prefix, []
-    while a < len(tail):
-        b = min(len(tail), a + 512)
-        g, ahead, before = values(a, b, before)
-        keep = np.argsort(-g, kind="stable")[:want]
+        keep = np.argpartition(g, len(g) - want)[-want:] if len(g) > want else range(len(g))
         best += [(-float(g[i]), r - 1, j0 + a + int(i), float(ahead[i]), excluded if a + i == 0 else ()) for i in keep if g[i] > -np.inf]
         best = heapq.nsmallest(want, best)
-        a = b
+        a, before = a + 512, float(cum[-1])
         # 37: more than the largest Gumbel variate of a 53-bit uniform number; what follows can't come before what is held.
         if len(best) == want and before + 37 < -best[-1][0]:
             break
@@ -422,13 +493,14 @@ def sample_batch(lattices: Lattices, texts: list[str], keys: list[int], k: int)
     hashed = lambda r, sel: _mix(_mix(seeds[sel] + np.uint64((r + 1) * 0xA24BAED4963EE407 & 0xFFFFFFFFFFFFFFFF)) + place[sel].astype(np.uint64))
     every = np.arange(len(starts))
     arcs, counts = lattices.walk(starts, starts, hashed(0, every))
+    logs = lattices.logs[arcs]
     ends = np.concatenate([[0], np.cumsum(counts)])
     for s, a, b in zip(searches, bounds[:-1], bounds[1:], strict=True):
-        path = arcs[ends[a] : ends[b]]
-        s.paths.append(path)
+        s.paths.append(arcs[ends[a] : ends[b]])
+        s.logs.append(logs[ends[a] : ends[b]])
         s.counts.append(counts[a:b])
-        top = -math.log(-math.log(float(_uniform(s.key, [1 << 40])[0])))
-        s.found.append((top, float(lattices.logp[path].sum())))
+        top = -math.log(-math.log(_uniform_one(s.key, 1 << 40)))
+        s.found.append((top, float(s.logs[0].real.sum())))
         _cut_up(s, lattices, 0, 0.0, (), top, k)
     for r in range(1, k):
         todo = []
@@ -437,7 +509,7 @@ def sample_batch(lattices: Lattices, texts: list[str], keys: list[int], k: int)
                 g, parent, j, before, excluded = heapq.heappop(s.heap)
                 old = s.paths[parent]
                 gone = {*excluded, int(old[j])}
-                arc = _other_arc(lattices, int(old[j]), gone, float(_uniform(s.key ^ (r * 0x9E6C63D0876A9A47), [j])[0]))
+                arc = _other_arc(lattices, int(old[j]), gone, _uniform_one(s.key ^ (r * 0x9E6C63D0876A9A47), j))
                 if arc is None:
                     continue
                 chunk = int(np.searchsorted(np.cumsum(s.counts[parent]), j, "right"))
@@ -458,6 +530,7 @@ def sample_batch(lattices: Lattices, texts: list[str], keys: list[int], k: int)
             at.append(nodes)
         sel, at = np.concatenate(sel), np.concatenate(at)
         arcs, counts = lattices.walk(at, starts[sel], hashed(r, sel))
+        logs = lattices.logs[arcs]
         ends = np.concatenate([[0], np.cumsum(counts)])
         used = 0
         for i, g, parent, j, before, gone, arc, chunk in todo:
@@ -465,8 +538,9 @@ def sample_batch(lattices: Lattices, texts: list[str], keys: list[int], k: int)
             to = int(lattices.target[arc])
             n = len(s.chunks) - chunk - (to < 0)
             old, old_counts = s.paths[parent], s.counts[parent]
-            new = arcs[ends[used] : ends[used + n]]
-            path = np.concatenate([old[:j], [arc], new])
+            new = slice(ends[used], ends[used + n])
+            path = np.concatenate([old[:j], [arc], arcs[new]])
+            s.logs.append(np.concatenate([s.logs[parent][:j], lattices.logs[arc : arc + 1], logs[new]]))
             head = j - int(old_counts[:chunk].sum()) + 1  # arcs of the chunk up to the new one
             own = counts[used : used + n].copy()
             if to >= 0:
@@ -477,7 +551,7 @@ def sample_batch(lattices: Lattices, texts: list[str], keys: list[int], k: int)
             used += n
             s.paths.append(path)
             s.counts.append(own)
-            s.found.append((g, float(lattices.logp[path].sum())))
+            s.found.append((g, float(s.logs[-1].real.sum())))
             _cut_up(s, lattices, j, before, tuple(x for x in gone), g, k)
     out = []
     size = len(model.pieces)

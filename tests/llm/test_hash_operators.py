@@ -241,6 +241,28 @@ def test_samples_don_t_depend_on_the_batch(lattices):
         assert [(a[0].tolist(), a[1], a[2], a[3]) for a in alone] == [(b[0].tolist(), b[1], b[2], b[3]) for b in found]
 
 
+def test_words_that_come_again_are_kept(lattices, monkeypatch):
+    monkeypatch.setattr(lattice_sampling, "KEEP_ARCS", 3000)
+    rng, held = random.Random(8), lattice_sampling.Lattices(lattices.model)
+    once = lambda: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(40))
+    texts = ["early words " + once() if i < 8 else "later sentences " + once() for i in range(40)] + ["early words later sentences " + "of it " * 9 + "z" * 60] * 3
+    for i, text in enumerate(texts):
+        key = lattice_sampling.row_key(3, i)
+        got = lattice_sampling.sample_batch(held, [text], [key], 3)[0]
+        held.settle()
+        alone = lattice_sampling.sample_batch(lattices, [text], [key], 3)[0]
+        assert [(x[0].tolist(), x[1:]) for x in got] == [(x[0].tolist(), x[1:]) for x in alone]
+    assert held.arcs <= 3000 + 2000
+    assert {"early", "words", "later", "sentences"} <= set(held.start)
+    assert len(held.start) < 200 and not held.extra
+
+
+def test_pieces_are_found_by_their_hashes(lattices):
+    model, rng = lattices.model, np.random.default_rng(5)
+    h = np.concatenate([model.hashes, model.hashes + np.uint64(1), model.hashes - np.uint64(1), rng.integers(0, 1 << 64, 10_000, np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+    assert np.array_equal(model.place(h), np.searchsorted(model.hashes, h))
+
+
 def test_long_chunks_have_the_same_lattice(lattices):
     word = "internationalization" * 2
     a, b = lattice_sampling.Lattices(lattices.model), lattice_sampling.Lattices(lattices.model)
